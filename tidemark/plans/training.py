@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.jsonvalue import canonical_json, is_json_null, is_json_object
 from tidemark.operators.changefeed import change_images, current_state, first_deliveries
+from tidemark.operators import drift
 from tidemark.operators.dedup import ExactlyOnceStore
 from tidemark.operators.diff import compare_copies
 from tidemark.operators.incremental import replay
 from tidemark.sources.tables import table
-from tidemark.storage import scratch
+from tidemark.storage import scratch, write_once
 
 
 def _store(spark: SparkSession, d: str, columns: list[str]) -> ExactlyOnceStore:
@@ -38,6 +39,16 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return replay(table(spark, d, "mutations"), table(spark, d, "run_log"), table(spark, d, "run_journal"), scratch(spark, "runs"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch(spark, "drift")
+    return drift.report(table(spark, d, "mutations"), lambda df, name: write_once(df, f"{root}/{name}"))
+
+
+def p3_unified(spark: SparkSession, d: str) -> DataFrame:
+    """All payloads as one table of typed branches, under the newest names of their fields."""
+    return drift.unified(table(spark, d, "mutations"), p3_found(spark, d))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     payload = F.col("payload")
     gone = is_json_null(payload)
@@ -57,7 +68,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return compare_copies(table(spark, d, "docs_primary"), table(spark, d, "docs_replica"), "m_document_id", ignore=("m_projected_at",))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p2_found, p4_found, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p2_found, p3_found, p3_unified, p4_found, p5_found)}
 
 _VALID = "event_id is not null and event_id <> ''"
 _P5 = [

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import count_tokens, encode_texts
 from tidemark.llm.mixing import mix
+from tidemark.llm.sentences import split_texts
 from tidemark.sources.tables import table
 from tidemark.storage import scratch
 
@@ -42,5 +43,9 @@ def p7_rates(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d, True).rates().withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p6_counts, p7_found, p7_shares, p7_rates)}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return split_texts(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p6_ids, p6_counts, p7_found, p7_shares, p7_rates, p8_found)}
 SQL: dict[str, str] = {}

@@ -1,0 +1,65 @@
+"""An index of postings: which documents have a term, how often, in texts of what length.
+
+Postings lie in buckets of the term and are sorted by it, so a query reads the row groups of its few terms instead of
+the tokens of the whole corpus.  A term that is in a third of all documents is spread over files by the document.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.engine.analysis import analyse, chain_of
+from tidemark.engine.layout import FieldLayout, Layout
+from tidemark.engine.scoring import contribution, idf
+
+BUCKETS, SPREAD = 16, 4
+
+
+@dataclass
+class Postings:
+    layout: Layout
+    path: str
+    postings: DataFrame
+    lengths: DataFrame
+
+    @classmethod
+    def build(cls, docs: DataFrame, layout: Layout, path: str, buckets: int = BUCKETS) -> Postings:
+        """Write the postings of all text fields of a generation."""
+        spark = docs.sparkSession
+        parts = []
+        for f in layout.text_fields:
+            terms = docs.filter(F.col(f.tokens).isNotNull()).select("m_document_id", F.col(f.length).alias("dl"), F.explode(f.tokens).alias("term"))
+            parts.append(terms.groupBy("m_document_id", "dl", "term").agg(F.count(F.lit(1)).cast("int").alias("tf")).withColumn("field", F.lit(f.name)))
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+        spread = F.pmod(F.xxhash64("m_document_id"), F.lit(SPREAD))
+        rows.repartition("bucket", spread).sortWithinPartitions("bucket", "term", "m_document_id").write.partitionBy("bucket").parquet(f"{path}/postings")
+        lengths = [docs.agg(F.count(f.tokens).alias("n"), F.sum(f.length).alias("total")).withColumn("field", F.lit(f.name)) for f in layout.text_fields]
+        whole = lengths[0]
+        for x in lengths[1:]:
+            whole = whole.unionByName(x)
+        whole.write.parquet(f"{path}/lengths")
+        schema = "m_document_id string, dl int, term string, tf int, field string, bucket int"
+        return cls(layout, path, spark.read.schema(schema).parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"))
+
+    def ranked(self, f: FieldLayout, text: str, buckets: int = BUCKETS) -> DataFrame:
+        """(m_document_id, score) of the documents with any of the text's terms; terms are summed in a fixed order."""
+        terms = list(dict.fromkeys(analyse(text, chain_of(f.language, self.layout.analysis))))
+        spark = self.postings.sparkSession
+        if not terms:
+            return spark.createDataFrame([], "m_document_id string, score double")
+        where = spark.range(1).select(*[F.pmod(F.xxhash64(F.lit(t)), F.lit(buckets)).cast("int").alias(f"b{i}") for i, t in enumerate(terms)]).first()
+        found = self.postings.filter(F.col("bucket").isin(sorted(set(where))) & F.col("term").isin(terms) & (F.col("field") == f.name))
+        size = self.lengths.filter(F.col("field") == f.name).first()
+        frequency = {r.term: r["n"] for r in found.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+        per = found.groupBy("m_document_id").agg(F.max("dl").alias("dl"), *[F.max(F.when(F.col("term") == t, F.col("tf"))).alias(f"tf{i}") for i, t in enumerate(terms)])
+        total = F.lit(0.0)
+        for i, t in enumerate(terms):
+            weight = idf(size.n, frequency.get(t, 0))
+            total = total + F.when(F.col(f"tf{i}") > 0, contribution(F.col(f"tf{i}"), F.col("dl"), weight, (size.total or 0) / max(1, size.n))).otherwise(0.0)
+        return per.select("m_document_id", total.alias("score"))

@@ -37,11 +37,16 @@ MUTATION = T.StructType([
 CHUNK_BITS = 16
 
 
-def document_id_column(scope: Column, resource: Column, record_id: Column) -> Column:
+#: Canonical JSON texts of scalars and of lists of scalars.
+_SCALAR = r'(?:"(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false)'
+_IDENTITY = rf"^(?:{_SCALAR}|\[{_SCALAR}(?:,{_SCALAR})*\])$"
+
+
+def document_id_column(scope: Column, resource: Column, record_id: Column, is_canonical: bool = False) -> Column:
     """The document id in the plan: the digest of the canonical text of identity, resource and scope."""
-    quote = lambda c: F.to_json(F.to_variant_object(F.struct(c.alias("x")))).substr(F.lit(6), F.length(F.to_json(F.to_variant_object(F.struct(c.alias("x"))))) - 6)
-    text = F.concat(F.lit('{"recordId":'), canonical_json(record_id), F.lit(',"resource":'), quote(resource), F.lit(',"scope":"'), scope, F.lit('"}'))
-    return F.sha2(text, 256)
+    quoted = F.regexp_extract(F.to_json(F.struct(resource.alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
+    identity = record_id if is_canonical else canonical_json(record_id)
+    return F.sha2(F.concat(F.lit('{"recordId":'), identity, F.lit(',"resource":'), quoted, F.lit(',"scope":"'), scope, F.lit('"}')), 256)
 
 
 def _path(name: str) -> str:
@@ -88,7 +93,7 @@ def encode(mutations: DataFrame, layout: Layout) -> DataFrame:
     """Mutations with their document columns, a ``code`` that is null where they are valid, and ``arrival``."""
     names = [f.name for f in layout.fields.values() if f.pointer is None]
     df = mutations.select(*MUTATION.fieldNames()).withColumn("_deleted", is_json_null(F.col("payload")))
-    df = df.withColumn("_body", F.when(~F.col("_deleted"), one_value(F.col("payload"))))
+    df = df.withColumn("_body", F.when(~F.col("_deleted"), one_value(F.col("payload")))).withColumn("_identity", canonical_json(F.col("record_id")))
     body = F.col("_body")
     object_ = F.coalesce(F.schema_of_variant(body).startswith("OBJECT"), F.lit(False))
     fields = {f.name: _value(body, f) for f in layout.fields.values() if f.pointer is None}
@@ -96,11 +101,7 @@ def encode(mutations: DataFrame, layout: Layout) -> DataFrame:
     wrong = reduce(Column.__or__, [bad for _, bad in fields.values()])
     sha = r"^sha256:[0-9a-f]{64}$"
     token = lambda c: F.coalesce((F.length(c) > 0) & (F.octet_length(c) <= 256) & ~F.col(c).rlike(r"[\x00-\x1f\x7f]"), F.lit(False))
-    identity = one_value(F.col("record_id"))
-    shape = F.schema_of_variant(identity)
-    inner = F.try_variant_get(identity, "$", "array<variant>")
-    scalars = F.coalesce((F.size(inner) > 0) & ~F.exists(inner, lambda x: F.schema_of_variant(x).rlike("^(VOID|ARRAY|OBJECT)")), F.lit(False))
-    named = F.coalesce(F.when(shape.startswith("ARRAY"), scalars).otherwise(~shape.rlike("^(VOID|OBJECT)")), F.lit(False))
+    named = F.coalesce(F.col("_identity").rlike(_IDENTITY), F.lit(False))
     code = (
         F.when(F.col("resource_ref").isNull() | (F.col("resource_ref") != layout.resource), FOREIGN)
         .when(~(token("event_id") & token("source_version") & token("schema_version") & named), INVALID)
@@ -119,9 +120,9 @@ def encode(mutations: DataFrame, layout: Layout) -> DataFrame:
             leaf = F.try_variant_get(source, _pointer(f.pointer), "variant")
             value = F.when(F.schema_of_variant(leaf) == "STRING", F.try_variant_get(leaf, "$", "string")).when(F.schema_of_variant(leaf) != "VOID", F.to_json(leaf))
         values.append(value.cast(f.type).alias(f.column))
-    df = df.select("*", code.alias("code"), document_id_column(F.col("scope_fingerprint"), F.col("resource_ref"), F.col("record_id")).alias("m_document_id"), *values)
+    df = df.select("*", code.alias("code"), document_id_column(F.col("scope_fingerprint"), F.col("resource_ref"), F.col("_identity"), True).alias("m_document_id"), *values)
     digest = F.concat(F.lit("sha256:"), F.sha2(F.when(~F.col("_deleted"), F.to_json(F.struct(*sorted(f.column for f in layout.fields.values())))).otherwise("null"), 256))
-    return df.select("arrival", "code", F.col("scope_fingerprint").alias("m_scope"), F.col("resource_ref").alias("m_resource"), canonical_json(F.col("record_id")).alias("m_record_id"),
+    return df.select("arrival", "code", F.col("scope_fingerprint").alias("m_scope"), F.col("resource_ref").alias("m_resource"), F.col("_identity").alias("m_record_id"),
                      F.col("source_version").alias("m_source_version"), F.col("source_sequence").alias("m_source_sequence"), F.col("schema_version").alias("m_schema_version"),
                      F.col("schema_fingerprint").alias("m_schema_fingerprint"), digest.alias("m_source_digest"), F.col("event_id").alias("m_event_id"),
                      F.col("projected_at").alias("m_projected_at"), F.col("_deleted").alias("m_deleted"), "m_document_id", *[f.column for f in layout.fields.values()])

@@ -20,7 +20,7 @@ from tidemark.engine.request import from_mapping, from_operation
 from tidemark.engine.search import Search
 from tidemark.plans.resources import ARCHIVE, CUSTOMERS, DOCUMENTS, ENGLISH, LINES, ORDERS, PARTS, PROPS, USER_STATE, VECTORS, documents_of
 from tidemark.sources.tables import table, utc_table
-from tidemark.storage import scratch
+from tidemark.storage import scratch, write_once
 from tidemark.streaming.sink import project_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -315,13 +315,19 @@ def _by_value() -> F.Column:
     return F.floor("value").cast("bigint") + 1
 
 
+def _acks(spark: SparkSession, d: str, payload: F.Column, sequence: F.Column) -> DataFrame:
+    """Outcomes of a bulk that meets an empty generation; as in the store, the bulk is encoded once."""
+    encoded = encode(_user_log(utc_table(spark, d, "events"), sequence, payload), USER_STATE)
+    return acknowledge(write_once(encoded, f"{scratch(spark, 'encoded')}/rows"))
+
+
 _LATEST = "select cast(user_id as varchar) user_id, m_source_sequence, event_type, value from (select *, {seq} m_source_sequence, row_number() over (partition by user_id order by {seq} desc, event_id desc) k from events) where k = 1 and event_type {test} 'error'"
 _BY_ID, _BY_VALUE = "event_id + 1", "floor(value)::bigint + 1"
 _put("project_latest", lambda s, d: _user_columns(_projected(s, d, "latest", F.col("event_id") + 1).filter("not m_deleted")), _LATEST.format(seq=_BY_ID, test="<>"))
 _put("project_equal_seq", lambda s, d: _user_columns(_projected(s, d, "equal", _by_value(), 3).filter("not m_deleted")), _LATEST.format(seq=_BY_VALUE, test="<>"))
 _put("project_tombstones", lambda s, d: _projected(s, d, "tombs", _by_value()).filter("m_deleted").select(F.col("m_record_id").alias("user_id"), "m_source_sequence"),
      "select user_id, m_source_sequence from (" + _LATEST.format(seq=_BY_VALUE, test="=") + ")")
-_put("project_stale_acks", lambda s, d: acknowledge(encode(_user_log(utc_table(s, d, "events"), _by_value(), _payload(True)), USER_STATE)).select("event_id", "outcome"),
+_put("project_stale_acks", lambda s, d: _acks(s, d, _payload(True), _by_value()).select("event_id", "outcome"),
      f"select 'event-' || event_id event_id, case when seq < coalesce(before, 0) then 'stale' else 'applied' end outcome from (select event_id, {_BY_VALUE} seq, max({_BY_VALUE}) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding) before from events)")
 
 
@@ -331,13 +337,12 @@ def project_invalid_items(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("event_type") == "error", '{"user_id":1,"event_type":"error","value":"not-a-number"}').when(F.col("event_type") == "signup", '{"user_id":1,"surprise":2}')
         .when(F.col("event_type") == "purchase", '{"user_id":1,"event_ty').otherwise(_payload(False))
     )
-    acks = acknowledge(encode(_user_log(utc_table(spark, d, "events"), F.col("event_id") + 1, body), USER_STATE))
-    return acks.groupBy("outcome", "code").agg(F.count(F.lit(1)).alias("n"))
+    return _acks(spark, d, body, F.col("event_id") + 1).groupBy("outcome", "code").agg(F.count(F.lit(1)).alias("n"))
 
 
 _put("project_invalid_items", project_invalid_items, """select outcome, code, count(*) n from (select case when event_type in ('error', 'signup', 'purchase') then 'permanent' else 'applied' end outcome,
      case event_type when 'error' then 'mapper_parsing' when 'signup' then 'operation-invalid' when 'purchase' then 'mapper_parsing' end code from events) group by all""")
-_put("bulk_counts", lambda s, d: counts(acknowledge(encode(_user_log(utc_table(s, d, "events"), _by_value(), _payload(True)), USER_STATE))),
+_put("bulk_counts", lambda s, d: counts(_acks(s, d, _payload(True), _by_value())),
      f"select outcome, count(*) n from ({SQL['project_stale_acks']}) group by 1")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tidemark.engine.analysis import chain_of, token_column
 from tidemark.engine.layout import FULL_TEXT, HIDDEN, FieldLayout, Layout
 from tidemark.engine.values import canonical
-from tidemark.functions.jsonvalue import canonical_json, is_json_null, one_value
+from tidemark.functions.jsonvalue import canonical_json, canonical_of, is_json_null, with_values
 
 APPLIED, STALE, PERMANENT, RETRYABLE = "applied", "stale", "permanent", "retryable"
 #: Codes of outcomes (fixed values).
@@ -93,7 +93,8 @@ def encode(mutations: DataFrame, layout: Layout) -> DataFrame:
     """Mutations with their document columns, a ``code`` that is null where they are valid, and ``arrival``."""
     names = [f.name for f in layout.fields.values() if f.pointer is None]
     df = mutations.select(*MUTATION.fieldNames()).withColumn("_deleted", is_json_null(F.col("payload")))
-    df = df.withColumn("_body", F.when(~F.col("_deleted"), one_value(F.col("payload")))).withColumn("_identity", canonical_json(F.col("record_id")))
+    df = with_values(df, {"_body": F.when(~F.col("_deleted"), F.col("payload")), "_name": F.col("record_id")})
+    df = df.withColumn("_identity", canonical_of(F.col("_name"), F.col("record_id"))).drop("_name")
     body = F.col("_body")
     object_ = F.coalesce(F.schema_of_variant(body).startswith("OBJECT"), F.lit(False))
     fields = {f.name: _value(body, f) for f in layout.fields.values() if f.pointer is None}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsonvalue import canonical_json, is_json_null, is_json_object
+from tidemark.functions.jsonvalue import canonical_of, is_json_null, object_of, with_values
 from tidemark.operators.changefeed import change_images, current_state, first_deliveries
 from tidemark.operators import drift
 from tidemark.operators.dedup import ExactlyOnceStore
@@ -50,12 +50,12 @@ def p3_unified(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    payload = F.col("payload")
-    gone = is_json_null(payload)
-    rows = table(spark, d, "mutations").filter(F.col("event_id") != "").select(
+    payload, gone = F.col("payload"), is_json_null(F.col("payload"))
+    rows = table(spark, d, "mutations").filter(F.col("event_id") != "")
+    rows = with_values(rows, {"body": F.when(~gone, payload), "name": F.col("record_id")}).select(
         "event_id", "delivery_id", "source_sequence", "resource_ref", "scope_fingerprint",
-        canonical_json(F.col("record_id")).alias("record_id"),
-        F.when(gone, "delete").when(is_json_object(payload), "upsert").alias("kind"),
+        canonical_of(F.col("name"), F.col("record_id")).alias("record_id"),
+        F.when(gone, "delete").when(object_of(F.col("body"), payload), "upsert").alias("kind"),
     )
     rows = rows.select("event_id", "delivery_id", "source_sequence", "kind", F.unhex(F.md5(F.to_json(
         F.struct("resource_ref", "scope_fingerprint", "record_id"), {"ignoreNullFields": "false"}))).alias("record"))

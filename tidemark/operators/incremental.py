@@ -22,6 +22,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -140,9 +142,6 @@ def first_run(seen: Column, runs: Sequence[tuple[int, object]]) -> Column:
         for run, snapshot in reversed(steps):
             out = F.when(seen <= F.lit(snapshot), F.lit(run).cast("int")).otherwise(out)
         return out
-    import numpy as np
-    import pandas as pd
-
     ids = np.array([r for r, _ in steps] + [0])
     cuts = np.array([np.datetime64(s, "us") for _, s in steps])
 

@@ -40,7 +40,10 @@ def _byte_letters() -> dict[str, int]:
 
 
 class PrefixEncoder:
-    """A vocabulary whose merges are numbered in the order of their ids."""
+    """A vocabulary whose merges are numbered in the order of their ids, and whose tokens are their own encodings.
+
+    Vocabularies made by counting pairs have both properties.
+    """
 
     def __init__(self, vocabulary: dict[bytes, int], merges: Iterable[tuple[bytes, bytes]]):
         import ahocorasick
@@ -127,6 +130,8 @@ class PrefixEncoder:
             start = end - length
             if reached[start] and (start == 0 or compatible(last[start], token)):
                 last[end], reached[end] = token, 1
+        if not reached[n]:
+            raise ValueError("the vocabulary has a token that is not its own encoding")
         ids = []
         while n:
             ids.append(last[n])

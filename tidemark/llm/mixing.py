@@ -181,6 +181,8 @@ def fit_rates(groups: DataFrame, targets: Targets, total: int, iterations: int =
             out[r.k] = r.v
         return out
 
+    if not k:
+        return [], aim, aim
     mass = totals(None)
     history: list = []
     before = None

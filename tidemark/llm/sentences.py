@@ -283,6 +283,8 @@ def _stop_ends(text: str, at: int, a: int, e: int, n: int, end: int, spaced: boo
     c, first = letter
     if not spaced:
         # "Treffer.Die": a missing space, but not in names, numbers, initials
+        if text[n] in _PAIRS and first == n + 1 and _UPPER.match(c):
+            return len(word) > 1 and word.casefold() not in OPEN_ABBREVIATIONS
         if first != n or not word or not _UPPER.match(c):
             return bool(word) and first == n and not c.isdigit() and not _LOWER.match(c) and len(word) > 1 and not _UPPER.match(c)
         tail = text[n + 1 : n + 2]

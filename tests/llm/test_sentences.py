@@ -17,7 +17,7 @@ CASES = [
     ["“The probe found it,” said Zurn.", "\"Has it moved?\" asked Brask in the hall.", "“It moved!” the clerk shouted.", "Brask wrote: “It moved.”", "The end."],
     ["It ended.", "(The desk found it; cf. p. 94.)", "It began again."],
     ["Am 11. Oktober fand er z. B. das Buch.", "Es ging um Felder usw.", "Akte Nr. 7 bzw. 8 fehlt.", "„Fand er es?“, fragte Brask.", "Er schrieb: „Es fehlt.“", "Siehe Abb. 5, d. h. das Bild."],
-    ["M. Quillet écrit : « Le champ est là. »", "Pourquoi a-t-il sauté ?", "Le total vaut env. 68 de plus, p. ex. ici.", "Il a gardé l’extrait… puis il est parti.", "« Il est là », dit Brasque."],
+    ["M. Quillet écrit : « Le champ est là. »", "Pourquoi a-t-il sauté ?", "Selon l’art. 8.4, il est là.", "Le total vaut env. 68 de plus, p. ex. ici.", "Il a gardé l’extrait… puis il est parti.", "« Il est là », dit Brasque."],
     ["El Sr. Orvani y la Dra. Vela citan la pág. 7 y el núm. 3.", "EE. UU. y la copia lo comparten.", "¿Por qué?", "¡Al fin!", "Brasco escribió: «Lo vi.»", "Fin."],
     ["Архив и т. д. описаны на стр. 140.", "Г. Орвань видел, т. е. нашёл его.", "Он весит 373 г.", "А. Н. Тесмар пишет.", "«Он здесь», — сказал Брасков.", "Наконец…", "Всё."],
     ["قال د. أورفان إن النسخة (ص. 99) وجدت.", "لماذا أعاد الأرشيف؟", "«أخفى الجيل»، قال تسمار."],

@@ -76,6 +76,7 @@ _NO_SPACES = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{K
 _NAME_LIKE = regex.compile(r"\p{Ll}[\p{L}\p{N}]*(?:_\w|\.\p{L}{2,}(?=[\s/:])|://|\S*@\S+\.)")
 _ALPHA_WORD = regex.compile(r"\p{L}[\p{L}\p{M}.]*")
 _LETTERS = regex.compile(r"[\p{L}\p{M}]+")
+_ELISION = regex.compile(r"^(?:[ldjmnst]|qu)[’']")
 _FORMAT = regex.compile(r"\p{Cf}+")
 
 
@@ -289,8 +290,8 @@ def _stop_ends(text: str, at: int, a: int, e: int, n: int, end: int, spaced: boo
             return bool(word) and first == n and not c.isdigit() and not _LOWER.match(c) and len(word) > 1 and not _UPPER.match(c)
         tail = text[n + 1 : n + 2]
         plain = regex.fullmatch(r"[\p{L}\p{M}\-’']{2,}|\d[\d.,:]*%?", word) is not None
-        return plain and (_LOWER.match(tail or " ") is not None or tail in _SPACES or tail == ".") and word.casefold() not in OPEN_ABBREVIATIONS
-    bare = word.casefold()
+        return plain and (not tail or tail in _SPACES or tail in ".-’'" or tail.isalpha()) and word.casefold() not in OPEN_ABBREVIATIONS
+    bare = _ELISION.sub("", word.casefold())
     if bare in OPEN_ABBREVIATIONS:
         return False
     if bare in NUMBER_ABBREVIATIONS and c.isdigit():
@@ -299,7 +300,7 @@ def _stop_ends(text: str, at: int, a: int, e: int, n: int, end: int, spaced: boo
         return False  # an initial
     if regex.fullmatch(r"(?:[\p{Lu}\p{Lt}]\.)+[\p{Lu}\p{Lt}]", word) and len(word) == 3 and _UPPER.match(c):
         return False  # initials without space
-    if bare in ("a.m", "p.m") and len(_ALPHA_WORD.findall(text, at, a)) <= 2:
+    if bare in ("a.m", "p.m") and len(_ALPHA_WORD.findall(_SPECIAL.sub(" ", text[at:a]))) <= 2:
         return False  # "At 4 a.m. Mr. Tarn": the sentence has no more than its time yet
     if word.isdigit() and _month(text, first, end):
         return False

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.engine.errors import InvalidRequest
 from tidemark.engine.values import language_tag
+from tidemark.shipping import ship
 
 PLAIN_PATTERN = r"[\p{L}\p{N}]+"
 #: The stop words of English (fixed values).
@@ -202,6 +203,7 @@ def fuzzy_terms(vocabulary, terms: Iterable[str], most: int, expansions: int = 5
     terms = sorted(set(terms))
     if not terms or most == 0:
         return {t: [t] for t in terms}
+    ship(vocabulary.sparkSession)
     spans = [F.length("term").between(len(t) - most, len(t) + most) for t in terms]
     near = spans[0]
     for s in spans[1:]:

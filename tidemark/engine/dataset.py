@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from tidemark.engine.analysis import chain_of, token_column
 from tidemark.engine.layout import FULL_TEXT, HIDDEN, Layout
+from tidemark.shipping import ship
 
 
 def as_documents(df: DataFrame, layout: Layout, columns: Mapping[str, Column], document_id: Column, hidden: Mapping[str, Column] | None = None) -> DataFrame:
     """``columns`` has an expression for each field; ``hidden`` replaces defaults of hidden columns."""
+    ship(df.sparkSession)
     given = {
         "m_document_id": document_id, "m_scope": F.lit("all"), "m_resource": F.lit(layout.resource), "m_record_id": document_id.cast("string"),
         "m_source_version": F.lit("1"), "m_source_sequence": F.lit(1).cast("bigint"), "m_schema_version": F.lit("1"),

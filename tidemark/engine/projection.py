@@ -23,6 +23,7 @@ from tidemark.engine.analysis import chain_of, token_column
 from tidemark.engine.layout import FULL_TEXT, HIDDEN, FieldLayout, Layout
 from tidemark.engine.values import canonical
 from tidemark.functions.jsonvalue import canonical_json, canonical_of, is_json_null, with_values
+from tidemark.shipping import ship
 
 APPLIED, STALE, PERMANENT, RETRYABLE = "applied", "stale", "permanent", "retryable"
 #: Codes of outcomes (fixed values).
@@ -131,6 +132,7 @@ def encode(mutations: DataFrame, layout: Layout) -> DataFrame:
 
 def with_tokens(docs: DataFrame, layout: Layout) -> DataFrame:
     """Documents with the derived columns of their text fields, in the generation's column order."""
+    ship(docs.sparkSession)
     for f in layout.text_fields:
         docs = docs.withColumn(f.tokens, token_column(F.col(f.column), chain_of(f.language, layout.analysis)))
         docs = docs.withColumn(f.length, F.when(F.col(f.column).isNotNull(), F.size(f.tokens)))

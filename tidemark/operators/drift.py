@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.shipping import ship
+
 #: The tags of the union.
 TYPES = ("string", "integer", "decimal", "boolean", "array")
 SHAPE = ["resource_ref", "schema_version", "schema_fingerprint"]
@@ -156,6 +158,7 @@ def fused_schema(rows: DataFrame) -> DataFrame:
 
     ``rows`` has the columns of the shape, ``source_sequence`` and ``payload``.
     """
+    ship(rows.sparkSession)
     kept = rows.select(*SHAPE, F.col("source_sequence").cast("bigint"), "payload").filter("resource_ref is not null and schema_version is not null and schema_fingerprint is not null")
     parts = kept.mapInArrow(_partial_unions, "resource_ref string, schema_version string, schema_fingerprint string, field string, type string, n bigint, first bigint")
     return parts.groupBy(*SHAPE, "field", "type").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
@@ -294,6 +297,7 @@ def unified(rows: DataFrame, changes: DataFrame | None = None) -> DataFrame:
 
     With ``changes`` (a report), fields that were renamed stand under their newest name beside the one they had.
     """
+    ship(rows.sparkSession)
     values = rows.select("delivery_id", *SHAPE, "payload").mapInArrow(_branches, _ROW)
     if changes is None:
         return values.withColumn("current_field", F.col("field"))

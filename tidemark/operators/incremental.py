@@ -29,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.shipping import ship
 from tidemark.storage import Folder, Manifest, read_paths, write_once
 
 #: A leaf covers 2 ** LEAF_BITS keys, a node 2 ** FAN_BITS nodes of the level below; LEVELS above the leaves.
@@ -169,6 +170,7 @@ def replay(
     after one that left it a final outcome in the journal.  Where the two trees differ at a run, that run has work.
     """
     spark = deliveries.sparkSession
+    ship(spark)
     runs = [(r[0], r[1]) for r in run_log.filter("run_state = 'succeeded'").select("run_id", "snapshot_at").orderBy("run_id").collect()]
     if not runs:
         return spark.createDataFrame([], f"run_id int, {identifier} string")

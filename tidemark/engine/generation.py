@@ -232,7 +232,7 @@ class Generations:
         acks = write_once(acknowledge(encoded, stored), f"{run}-work/acks")
         buckets = dict(state["buckets"])
         if touched:
-            (merged(stored, incoming).withColumn("b", bucket).repartition(max(1, len(touched)), "b")
+            (merged(stored, incoming).withColumn("b", bucket).hint("rebalance", "b")
                 .sortWithinPartitions("b", "m_scope", "m_document_id").write.partitionBy("b").parquet(run))
             written = Folder(self.spark, run)
             buckets |= {n[2:]: [f"{run}/{n}"] for n in written.names() if n.startswith("b=")}

@@ -1,7 +1,7 @@
 """An index of postings: which documents have a term, how often, in texts of what length.
 
 Postings lie in buckets of the term and are sorted by it, so a query reads the row groups of its few terms instead of
-the tokens of the whole corpus.  A term that is in a third of all documents is spread over files by the document.
+the tokens of the whole corpus.  A term that is in a third of all documents is spread over several files.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from tidemark.engine.analysis import analyse, chain_of
 from tidemark.engine.layout import FieldLayout, Layout
 from tidemark.engine.scoring import contribution, idf
 
-BUCKETS, SPREAD = 16, 4
+BUCKETS = 16
 
 
 @dataclass
@@ -37,8 +37,7 @@ class Postings:
         for p in parts[1:]:
             rows = rows.unionByName(p)
         rows = rows.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
-        spread = F.pmod(F.xxhash64("m_document_id"), F.lit(SPREAD))
-        rows.repartition("bucket", spread).sortWithinPartitions("bucket", "term", "m_document_id").write.partitionBy("bucket").parquet(f"{path}/postings")
+        rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "m_document_id").write.partitionBy("bucket").parquet(f"{path}/postings")
         lengths = [docs.agg(F.count(f.tokens).alias("n"), F.sum(f.length).alias("total")).withColumn("field", F.lit(f.name)) for f in layout.text_fields]
         whole = lengths[0]
         for x in lengths[1:]:

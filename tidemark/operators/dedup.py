@@ -110,7 +110,7 @@ class ExactlyOnceStore:
         old = self.affected(candidates, state)
         history = self._rows([p for k in old for p in parts.pop(k, [])])
         winners = self._best(history.unionByName(candidates)) if old else candidates
-        (winners.withColumn("part", self._part()).repartition("part", F.pmod(F.xxhash64(self.identifier), F.lit(4)))
+        (winners.withColumn("part", self._part()).hint("rebalance", "part")  # a large partition gets several writers
             .write.partitionBy("part").parquet(f"{self.root}/{run}/data"))
         data = Folder(self.spark, f"{self.root}/{run}/data")
         for name in data.names():
@@ -121,7 +121,7 @@ class ExactlyOnceStore:
         if old:  # only identifiers of this bulk can have got a new place; older entries stay true
             entries = entries.join(candidates.select(F.col(self.identifier).alias("id")), "id", "left_semi")
         index_path = f"index/{run}"
-        (entries.withColumn("b", self._bucket(F.col("id"))).repartition("b")
+        (entries.withColumn("b", self._bucket(F.col("id"))).hint("rebalance", "b")
             .write.partitionBy("b").parquet(f"{self.root}/{index_path}"))
         losers = rows.unionByName(history) if old else rows
         losers = losers.join(written.select(self.sequence), self.sequence, "left_anti").select(*self.columns)

@@ -246,7 +246,7 @@ def report(rows: DataFrame, checkpoint, share: float = 0.1) -> DataFrame:
 
     ``checkpoint`` maps a DataFrame and a name to the same DataFrame without its lineage.
     """
-    known = checkpoint(shape_fields(fused_schema(rows), share), "shapes")
+    known = checkpoint(shape_fields(checkpoint(fused_schema(rows), "union"), share), "shapes")
     shapes = known.select(*SHAPE, "place").distinct()
     older = shapes.select("resource_ref", (F.col("place") + 1).alias("place"), F.col("schema_version").alias("old_version"), F.col("schema_fingerprint").alias("old_fingerprint"))
     neighbours = shapes.join(older, ["resource_ref", "place"]).withColumn("pair", F.xxhash64(*SHAPE))

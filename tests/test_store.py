@@ -267,6 +267,19 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     assert sum(before[b] != now[b] for b in now) == 1 and store.snapshot(1, 2).docs.count() == store.snapshot().docs.count() == 50
 
 
+def test_deferred_bulks_show_after_a_refresh(spark, session):
+    store = session.store(LAYOUT.resource)
+    session.project(LAYOUT.resource, _mutations(spark, FOUR[:1]), "false")
+    assert _find(session)["items"] == []
+    assert _outcomes(session.project(LAYOUT.resource, _mutations(spark, [_row(2, "en-1", 9, None)]), "false")) == ["stale"]  # the write side knows it
+    assert _find(session)["items"] == []
+    store.vacuum(1)  # removes working files, keeps what is written but not yet shown
+    store.refresh()
+    assert _records(_find(session)) == ["en-1"] and store.refresh() == store.snapshot().version
+    with pytest.raises(InvalidRequest):
+        session.project(LAYOUT.resource, _mutations(spark, FOUR), "true")
+
+
 def test_a_stream_equals_a_batch(spark, tmp_path):
     rows = [_row(n, f"r{n % 7}", (n * 37) % 50 + 1, {"title": f"t{n}"}) for n in range(80)]
     for k in range(4):

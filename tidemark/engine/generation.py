@@ -150,8 +150,8 @@ class Generations:
         manifest = Manifest(self._generation(number))
         if version is None:
             version, state = manifest.latest()
-        else:
-            state = json.loads(manifest.folder.read_text(f"manifest-{version:08d}.json"))
+            version = state.get("visible", version)  # a deferred bulk is written but not yet shown
+        state = json.loads(manifest.folder.read_text(f"manifest-{version:08d}.json"))
         paths = [p for b in state["buckets"].values() for p in b]
         return Snapshot(read_paths(self.spark, paths, self.layout.struct()), number, version)
 
@@ -190,7 +190,8 @@ class Generations:
         manifest = Manifest(folder)
         current, _ = manifest.latest()
         keep: set[str] = set()
-        for v in {current, *self._leases(number)}:
+        shown = json.loads(folder.read_text(f"manifest-{current:08d}.json")).get("visible", current)
+        for v in {current, shown, *self._leases(number)}:
             state = json.loads(folder.read_text(f"manifest-{v:08d}.json"))
             keep |= {p.split("/")[-2] for b in state["buckets"].values() for p in b}
         gone = [n for n in folder.names() if n.startswith("run=") and n not in keep]
@@ -199,27 +200,42 @@ class Generations:
         return len(gone)
 
     # -- writing -----------------------------------------------------------------------------------------------
-    def bulk(self, mutations: DataFrame, number: int | None = None) -> DataFrame:
-        """A caller's bulk: bounded in items and bytes, acknowledged item by item in order of arrival."""
+    def bulk(self, mutations: DataFrame, number: int | None = None, refresh: str = "wait_for") -> DataFrame:
+        """A caller's bulk: bounded in items and bytes, acknowledged item by item in order of arrival.
+
+        With ``refresh="wait_for"`` searches see it when the call returns, with ``"false"`` after the next refresh.
+        """
         items, size = mutations.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.coalesce("payload", F.lit(""))))).first()
         if not 1 <= items <= self.limits.bulk_actions or (size or 0) > self.limits.bulk_bytes:
             raise LimitExceeded("the bulk is out of bounds")
-        return self.apply(mutations, number).orderBy("arrival")
+        return self.apply(mutations, number, refresh).orderBy("arrival")
+
+    def refresh(self, number: int | None = None) -> int:
+        """Show what deferred bulks have written; the visible version."""
+        number = self.active() if number is None else number
+        manifest = Manifest(self._generation(number))
+        version, state = manifest.latest()
+        if "visible" not in state:
+            return version
+        manifest.publish(version + 1, {k: v for k, v in state.items() if k != "visible"})
+        return version + 1
 
-    def apply(self, mutations: DataFrame, number: int | None = None) -> DataFrame:
+    def apply(self, mutations: DataFrame, number: int | None = None, refresh: str = "wait_for") -> DataFrame:
         """Apply mutations of any number to a generation (by default the one the write alias names); returns the acks."""
+        if refresh not in ("wait_for", "false"):
+            raise InvalidRequest("refresh is wait_for or false")
         if number is None:
             number = self.aliases().get("write")
             if number is None:
                 raise NotFound("no active generation")
         try:
-            return self._apply(mutations, number)
+            return self._apply(mutations, number, refresh == "wait_for")
         except EngineError:
             raise
         except Exception as error:
             raise translate(error) from None
 
-    def _apply(self, mutations: DataFrame, number: int) -> DataFrame:
+    def _apply(self, mutations: DataFrame, number: int, show: bool) -> DataFrame:
         folder = self._generation(number)
         manifest = Manifest(folder)
         version, state = manifest.latest()
@@ -236,7 +252,8 @@ class Generations:
                 .sortWithinPartitions("b", "m_scope", "m_document_id").write.partitionBy("b").parquet(run))
             written = Folder(self.spark, run)
             buckets |= {n[2:]: [f"{run}/{n}"] for n in written.names() if n.startswith("b=")}
-        manifest.publish(version + 1, {"buckets": buckets, "layout": self.layout.fingerprint})
+        hidden = {} if show else {"visible": state.get("visible", version)}
+        manifest.publish(version + 1, {"buckets": buckets, "layout": self.layout.fingerprint, **hidden})
         work = Folder(self.spark, f"{run}-work")
         work.remove("encoded")
         work.remove("incoming")

@@ -138,8 +138,8 @@ class Session:
         return result
 
     # -- writing -----------------------------------------------------------------------------------------------
-    def project(self, resource: str, mutations: DataFrame) -> DataFrame:
-        return self.store(resource).bulk(mutations)
+    def project(self, resource: str, mutations: DataFrame, refresh: str = "wait_for") -> DataFrame:
+        return self.store(resource).bulk(mutations, refresh=refresh)
 
     def backfill(self, resource: str, mutations: DataFrame, generation: int | None = None) -> DataFrame:
         return self.store(resource).apply(mutations, generation)

@@ -78,14 +78,20 @@ _NO_SPACES = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{K
 _NAME_LIKE = regex.compile(r"\p{Ll}[\p{L}\p{N}]*(?:_\w|\.\p{L}{2,}(?=[\s/:])|://|\S*@\S+\.)")
 _ALPHA_WORD = regex.compile(r"\p{L}[\p{L}\p{M}.]*")
 _LETTERS = regex.compile(r"[\p{L}\p{M}]+")
+_PLAIN_WORD = regex.compile(r"[\p{L}\p{M}\-’']{2,}|\d[\d.,:]*%?")
+_INITIAL, _INITIALS, _ARABIC = regex.compile(r"[\p{Lu}\p{Lt}]\p{M}*"), regex.compile(r"(?:[\p{Lu}\p{Lt}]\.)+[\p{Lu}\p{Lt}]"), regex.compile(r"\p{Arabic}")
 _ELISION = regex.compile(r"^(?:[ldjmnst]|qu)[’']")
 _FORMAT = regex.compile(r"\p{Cf}+")
 
 
 def is_language(text: str) -> bool:
     """Whether a fair part of the visible characters belongs to words."""
-    visible = sum(map(len, text.split()))
-    return sum(len(m[0]) for m in _WORDS.finditer(text)) >= 0.3 * visible
+    missing = 0.3 * sum(map(len, text.split()))
+    for m in _WORDS.finditer(text):
+        if missing <= 0:
+            break
+        missing -= len(m[0])
+    return missing <= 0
 
 
 def sentences(text: str | None) -> list[tuple[int, int]]:
@@ -291,22 +297,22 @@ def _stop_ends(text: str, at: int, a: int, e: int, n: int, end: int, spaced: boo
         if first != n or not word or not _UPPER.match(c):
             return bool(word) and first == n and not c.isdigit() and not _LOWER.match(c) and len(word) > 1 and not _UPPER.match(c)
         tail = text[n + 1 : n + 2]
-        plain = regex.fullmatch(r"[\p{L}\p{M}\-’']{2,}|\d[\d.,:]*%?", word) is not None
+        plain = _PLAIN_WORD.fullmatch(word) is not None
         return plain and (not tail or tail in _SPACES or tail in ".-’'" or tail.isalpha()) and word.casefold() not in OPEN_ABBREVIATIONS
     bare = _ELISION.sub("", word.casefold())
     if bare in OPEN_ABBREVIATIONS:
         return False
     if bare in NUMBER_ABBREVIATIONS and c.isdigit():
         return False
-    if regex.fullmatch(r"[\p{Lu}\p{Lt}]\p{M}*", word) and _UPPER.match(c):
+    if _INITIAL.fullmatch(word) and _UPPER.match(c):
         return False  # an initial
-    if regex.fullmatch(r"(?:[\p{Lu}\p{Lt}]\.)+[\p{Lu}\p{Lt}]", word) and len(word) == 3 and _UPPER.match(c):
+    if _INITIALS.fullmatch(word) and len(word) == 3 and _UPPER.match(c):
         return False  # initials without space
     if bare in ("a.m", "p.m") and len(_ALPHA_WORD.findall(_SPECIAL.sub(" ", text[at:a]))) <= 2:
         return False  # "At 4 a.m. Mr. Tarn": the sentence has no more than its time yet
     if word.isdigit() and _month(text, first, end):
         return False
-    if regex.fullmatch(r"\p{Arabic}", word):
+    if _ARABIC.fullmatch(word):
         return False
     return True
 

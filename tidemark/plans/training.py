@@ -83,6 +83,32 @@ SQL = {
         f as (select e.event_id, min(run_id) run_id from e join run_log r on r.run_state = 'succeeded' and r.snapshot_at >= e.seen group by 1),
         j as (select event_id, min(run_id) done from run_journal where outcome <> 'retryable' group by 1)
         select f.run_id, f.event_id from f left join j using (event_id) where done is null or done >= f.run_id""",
+    "p3_found": """with m as (
+          select *, case when json_type(record_id) = 'VARCHAR' then 's' || json_extract_string(record_id, '$') when json_type(record_id) = 'ARRAY' then 'a' || json_extract_string(record_id, '$[0]') || chr(1) || json_extract_string(record_id, '$[1]') else 'n' || trim(record_id) end rid
+          from mutations where schema_version is not null and schema_fingerprint is not null and resource_ref is not null),
+        o as (select * from m where json_valid(payload) and json_type(payload) = 'OBJECT'),
+        t as (select o.delivery_id, o.resource_ref r, o.schema_version v, o.schema_fingerprint f, o.source_sequence q, o.scope_fingerprint s, o.rid,
+              replace(substr(t.fullkey, 2), '.', '/') field, cast(t."value" as varchar) val,
+              case t."type" when 'VARCHAR' then 'string' when 'BIGINT' then 'integer' when 'UBIGINT' then 'integer' when 'HUGEINT' then 'integer' when 'DOUBLE' then 'decimal' when 'BOOLEAN' then 'boolean' when 'ARRAY' then 'array' end kind
+              from o, lateral json_tree(o.payload) t where t."type" <> 'OBJECT' and not contains(t.fullkey, '[')),
+        n as (select r, v, f, count(*) payloads from (select resource_ref r, schema_version v, schema_fingerprint f from o) group by all),
+        shape as (select n.*, row_number() over (partition by n.r order by a.q, n.v, n.f) place from n join (select resource_ref r, schema_version v, schema_fingerprint f, min(source_sequence) q from m group by all) a using (r, v, f)),
+        fields as (select shape.*, c.field from shape join (select r, v, f, field, count(*) carried from t group by all) c using (r, v, f) where c.carried * 10 >= shape.payloads),
+        kinds as (select r, v, f, field, kind from (select *, row_number() over (partition by r, v, f, field order by c desc, list_position(['string', 'integer', 'decimal', 'boolean', 'array'], kind)) k from (select r, v, f, field, kind, count(*) c from t where kind is not null group by r, v, f, field, kind)) where k = 1),
+        typed as (select fields.*, kinds.kind from fields left join kinds using (r, v, f, field)),
+        pair as (select a.r, a.v v0, a.f f0, b.v, b.f, b.place from shape a join shape b on a.r = b.r and b.place = a.place + 1),
+        gone as (select pair.*, x.field from pair join typed x on x.r = pair.r and x.place = pair.place - 1 where not exists (select 1 from typed y where y.r = pair.r and y.place = pair.place and y.field = x.field)),
+        come as (select pair.*, x.field from pair join typed x on x.r = pair.r and x.place = pair.place where not exists (select 1 from typed y where y.r = pair.r and y.place = pair.place - 1 and y.field = x.field)),
+        last as (select * from (select resource_ref r, schema_version v, schema_fingerprint f, scope_fingerprint s, rid, delivery_id, row_number() over (partition by resource_ref, schema_version, schema_fingerprint, scope_fingerprint, rid order by source_sequence desc, delivery_id desc) k from o) where k = 1),
+        first as (select * from (select resource_ref r, schema_version v, schema_fingerprint f, scope_fingerprint s, rid, delivery_id, row_number() over (partition by resource_ref, schema_version, schema_fingerprint, scope_fingerprint, rid order by source_sequence, delivery_id) k from o) where k = 1),
+        old as (select g.r, g.place, g.field, l.s, l.rid, t.val from gone g join last l on l.r = g.r and l.v = g.v0 and l.f = g.f0 join t on t.delivery_id = l.delivery_id and t.field = g.field where t.kind is not null),
+        new as (select c.r, c.place, c.field, l.s, l.rid, t.val from come c join first l on l.r = c.r and l.v = c.v and l.f = c.f join t on t.delivery_id = l.delivery_id and t.field = c.field where t.kind is not null),
+        moved as (select old.r, old.place, old.field, new.field new_field, count(*) n_both, count(*) filter (old.val = new.val) same from old join new on old.r = new.r and old.place = new.place and old.s is not distinct from new.s and old.rid = new.rid group by old.r, old.place, old.field, new.field having count(*) filter (old.val = new.val) * 2 > count(*)),
+        renamed as (select * from (select *, row_number() over (partition by r, place, field order by same / n_both desc, same desc, new_field) a, row_number() over (partition by r, place, new_field order by same / n_both desc, same desc, field) b from moved) where a = 1 and b = 1)
+        select r resource_ref, v schema_version, f schema_fingerprint, 'removed' "change", field, '' new_field from gone where not exists (select 1 from renamed n where n.r = gone.r and n.place = gone.place and n.field = gone.field)
+        union all select r, v, f, 'added', field, '' from come where not exists (select 1 from renamed n where n.r = come.r and n.place = come.place and n.new_field = come.field)
+        union all select b.r, b.v, b.f, 'retyped', b.field, '' from typed a join typed b on a.r = b.r and b.place = a.place + 1 and a.field = b.field where a.kind <> b.kind
+        union all select n.r, pair.v, pair.f, 'renamed', n.field, n.new_field from renamed n join pair on pair.r = n.r and pair.place = n.place""",
     "p4_found": f"""with m as (select *, case when payload is null or trim(payload) = 'null' then 'delete' when json_valid(payload) and json_type(payload) = 'OBJECT' then 'upsert' end kind from mutations where {_VALID}),
         first as (select *, row_number() over (partition by event_id order by delivery_id) k from m),
         e as (select *, case when json_type(record_id) = 'VARCHAR' then 's' || json_extract_string(record_id, '$') when json_type(record_id) = 'ARRAY' then 'a' || json_extract_string(record_id, '$[0]') || chr(1) || json_extract_string(record_id, '$[1]') else 'n' || trim(record_id) end rid from first where k = 1 and kind is not null),

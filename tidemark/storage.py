@@ -24,6 +24,8 @@ def shared_root(spark: SparkSession) -> str:
     """The folder all executors share; only where the session names none, one of this process's own (tests)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = getattr(shared_root, "own", None) or tempfile.mkdtemp(prefix="tidemark-")
         shared_root.own = named
     if spark.sparkContext.getCheckpointDir() is None:

@@ -8,14 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_engine import ARTICLES, PROFILE
-from tidemark.engine.errors import Conflict, CursorRejected, FingerprintDrift, InvalidRequest, LifecycleError, LimitExceeded, NotFound, Unplaced, Unsupported
+from tidemark.engine.errors import ConfigurationError, Conflict, CursorRejected, FingerprintDrift, InvalidRequest, LifecycleError, LimitExceeded, NotFound, Unplaced, Unsupported
 from tidemark.engine.generation import Generations
 from tidemark.engine.layout import DocumentProfile, Field, Schema, SearchProfile, compile_layout
 from tidemark.engine.limits import Limits
 from tidemark.engine.postings import Postings
 from tidemark.engine.projection import MUTATION, acknowledge, encode, survivors
 from tidemark.engine.session import Session
+from tidemark.engine.settings import Settings
 from tidemark.engine.values import document_id, scope_fingerprint
+from tidemark.streaming.outcomes import outcomes
 from tidemark.streaming.sink import project_stream
 
 LAYOUT = compile_layout(ARTICLES, PROFILE)
@@ -298,6 +300,26 @@ def test_a_stream_equals_a_batch(spark, tmp_path):
     assert {(r.m_record_id, r.m_source_sequence) for r in store.snapshot().docs.collect()} == set(best.items())
 
 
+def test_outcomes_of_a_stream(spark, tmp_path):
+    rows = [_row(n, f"r{n % 3}", (n * 7) % 10, {"title": "x"}) for n in range(30)]  # sequence 0 is permanent
+    for k in range(3):
+        _mutations(spark, rows[10 * k : 10 * k + 10]).coalesce(1).write.parquet(f"{tmp_path}/log/{k}")
+    stream = spark.readStream.schema(MUTATION).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/log")
+    query = outcomes(stream, LAYOUT).writeStream.format("memory").queryName("acks").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    want = {r.arrival: (r.outcome, r.code) for r in acknowledge(encode(_mutations(spark, rows), LAYOUT)).collect()}
+    assert {r.arrival: (r.outcome, r.code) for r in spark.table("acks").collect()} == want and len({o for o, _ in want.values()}) == 3
+
+
+def test_settings_are_closed(spark, tmp_path):
+    made = Settings.from_mapping({"root": str(tmp_path), "prefix": "p", "buckets": 4, "limits": {"page_size": 5}})
+    assert made.session(spark, b"0123456789abcdef").limits.page_size == 5
+    for bad in ({}, {"root": "x"}, {"root": "x", "prefix": "p", "secret": "s"}, {"root": "x", "prefix": "//"}, {"root": "x", "prefix": "p", "buckets": 0}, {"root": "x", "prefix": "p", "buckets": True},
+                {"root": "x", "prefix": "p", "limits": {"no": 1}}, {"root": "x", "prefix": "p", "limits": {"page_size": 501}}, {"root": "", "prefix": "p"}, {"root": "x", "prefix": "p", "point_in_time": 1}):
+        with pytest.raises(ConfigurationError):
+            Settings.from_mapping(bad)
+
+
 def test_postings_rank_like_a_scan(spark, tmp_path, session):
     session.store(LAYOUT.resource).apply(_mutations(spark, FOUR))
     docs = session.store(LAYOUT.resource).snapshot().docs

@@ -21,6 +21,7 @@ from tidemark.engine.search import Search
 from tidemark.plans.resources import ARCHIVE, CUSTOMERS, DOCUMENTS, ENGLISH, LINES, ORDERS, PARTS, PROPS, USER_STATE, VECTORS, documents_of
 from tidemark.sources.tables import table, utc_table
 from tidemark.storage import scratch, write_once
+from tidemark.streaming.outcomes import outcomes
 from tidemark.streaming.sink import project_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -433,6 +434,23 @@ def stream_project_latest(spark: SparkSession, d: str) -> DataFrame:
 _put("stream_project_latest", stream_project_latest, SQL["project_latest"])
 
 
+def stream_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """The outcomes of the change log as a stream, by a keyed state, in several micro-batches."""
+    root = scratch(spark, "outcomes")
+    log = _user_log(utc_table(spark, d, "events"), _by_value(), _payload(True))
+    top = log.agg(F.max("arrival")).first()[0] or 0
+    for k in range(3):  # files in order of arrival
+        part = log.filter((F.col("arrival") > top * k // 3) if k else F.lit(True)).filter(F.col("arrival") <= top * (k + 1) // 3)
+        part.coalesce(1).write.parquet(f"{root}/log/part={k}")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{root}/log")
+    writer = outcomes(stream, USER_STATE).writeStream.format("parquet").option("path", f"{root}/acks").option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/acks").select("event_id", "outcome")
+
+
+_put("stream_outcomes", stream_outcomes, SQL["project_stale_acks"])
+
+
 def snapshot_pages(spark: SparkSession, d: str) -> DataFrame:
     """Pages of a point in time stay the same although the generation changes between them."""
     store = _two_generations(spark, d)

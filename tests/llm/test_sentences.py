@@ -87,6 +87,18 @@ def test_every_character_lies_in_one_sentence(text):
     assert not text[at:].strip(SPACE)
 
 
+@pytest.mark.parametrize("text", [
+    "The end ? " * 20_000, "x " + "? " * 50_000, "a. " + "(" * 50_000 + '" ' * 50_000, "“One.” two " * 10_000, "He said (so. It was) " * 10_000, "«" * 30_000 + "a. B." * 5_000,
+    "\n \n" * 50_000 + "a", "แฟ้ม Meridian คลัง " * 10_000, "a.m. " * 20_000, "“" * 40_000 + "A. b”" * 9_000, "- a\n" * 30_000, "9. " * 30_000,
+])
+def test_long_texts_take_linear_time(text):
+    import time
+
+    began = time.process_time()
+    sentences(text)
+    assert time.process_time() - began < 8
+
+
 def test_rows_of_a_table(spark):
     rows = [(1, None), (2, ""), (3, "One. Two."), (3, "One. Two."), (4, "x " * 100_000 + "end. The last")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")

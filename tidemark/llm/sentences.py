@@ -14,6 +14,7 @@ mark sentences by spaces only, break at a space between two of their letters, bu
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -153,17 +154,21 @@ def _items(text: str, start: int, end: int) -> list[int]:
 def _spans(text: str, start: int, end: int) -> list[tuple[int, int]]:
     """Matched pairs of quotation marks and brackets, by their opening position."""
     stack: list[tuple[int, str]] = []
+    waiting: dict[str, int] = {}  # closing marks that would match something, so that no mark searches the stack in vain
     spans = []
     for m in _MARKS.finditer(text, start, end):
         c, i = m[0], m.start()
-        depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][1] == c), None)
-        if depth is not None:
-            spans.append((stack[depth][0], i))
-            del stack[depth:]
-        elif c == '"':
-            stack.append((i, '"'))
-        elif c in _PAIRS:
-            stack.append((i, _PAIRS[c]))
+        if waiting.get(c):
+            while True:
+                start_, wanted = stack.pop()
+                waiting[wanted] -= 1
+                if wanted == c:
+                    spans.append((start_, i))
+                    break
+        elif c == '"' or c in _PAIRS:
+            wanted = _PAIRS.get(c, '"')
+            stack.append((i, wanted))
+            waiting[wanted] = waiting.get(wanted, 0) + 1
     return sorted(spans)
 
 
@@ -171,6 +176,12 @@ def _paragraph(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
     spans = _spans(text, start, end)
     opened = dict(spans)
     closing = {b: a for a, b in spans}
+    outer: list[tuple[int, int]] = []
+    for span in spans:
+        if not outer or span[0] > outer[-1][1]:
+            outer.append(span)
+    within = _Within(outer)
+    letters = _Letters(text, end)
     cuts = [(m.end(), m) for m in _TERMINATOR.finditer(text, start, end)]
     cuts += [(m.end(), None) for r in (_SPACED, _FOREIGN) for m in r.finditer(text, start, end)]
     cuts.sort(key=lambda c: c[0])
@@ -179,18 +190,42 @@ def _paragraph(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
         if position <= at:
             continue
         if m is None:
-            if not any(a < position <= b for a, b in spans if a >= at):
+            if not within(position, position, at):
                 yield at, position
                 at = position
             continue
-        cut = _cut(text, at, m, end, spans, opened, closing)
+        cut = _cut(text, at, m, end, within, opened, closing, letters)
         if cut is not None:
             yield at, cut
             at = cut
     yield at, end
 
 
-def _cut(text: str, at: int, m, end: int, spans: list, opened: dict, closing: dict) -> int | None:
+class _Within:
+    """Whether a stretch lies inside one of the outermost quotations or brackets that opened since a position."""
+
+    def __init__(self, outer: list[tuple[int, int]]):
+        self.starts, self.ends = [a for a, _ in outer], [b for _, b in outer]
+
+    def __call__(self, a: int, e: int, since: int) -> bool:
+        k = bisect_left(self.starts, a) - 1
+        return k >= 0 and self.starts[k] >= since and e <= self.ends[k]
+
+
+class _Letters:
+    """The next letter or digit behind a position, past symbols and strings of special tokens, found once."""
+
+    def __init__(self, text: str, end: int):
+        self.text, self.end = text, end
+        self.low, self.found = 0, -1
+
+    def __call__(self, n: int) -> tuple[str, int] | None:
+        if not self.low <= n <= self.found:
+            self.low, self.found = n, _next_letter(self.text, n, self.end)
+        return (self.text[self.found], self.found) if self.found < self.end else None
+
+
+def _cut(text: str, at: int, m, end: int, within: _Within, opened: dict, closing: dict, letters: _Letters) -> int | None:
     """Where the sentence that began at ``at`` ends, if the terminator ends it."""
     a, b = m.span()
     e, quote, bracket = b, None, None
@@ -214,7 +249,7 @@ def _cut(text: str, at: int, m, end: int, spans: list, opened: dict, closing: di
             break
     if e >= end:
         return end
-    if any(x < a and e <= y for x, y in spans if x >= at):
+    if within(a, e, at):
         return None  # still within a quotation or brackets
     n = e
     while n < end and text[n] in _SPACES:
@@ -223,12 +258,12 @@ def _cut(text: str, at: int, m, end: int, spans: list, opened: dict, closing: di
         return end
     spaced = n > e
     c = text[n]
-    if c in _CONTINUE or (c in _DASHES and not _starts_upper(text, n, end)):
+    if c in _CONTINUE or (c in _DASHES and (letter := letters(n)) is not None and _LOWER.match(letter[0])):
         return None
     mark = text[a:b]
     wide = not (mark[-1] in _DOTS or mark[-1] in "!?") or ord(mark[0]) > 0x2E80
     dotted = all(x in _DOTS for x in mark)
-    letter = _next_letter(text, n, end)
+    letter = letters(n)
     lower = letter is not None and _LOWER.match(letter[0]) is not None and not _NAME_LIKE.match(text, letter[1])
     if quote is not None:
         return _after_quote(text, at, e, n, spaced, letter, lower, quote)
@@ -248,22 +283,16 @@ def _cut(text: str, at: int, m, end: int, spans: list, opened: dict, closing: di
     return e if n in opened else None
 
 
-def _starts_upper(text: str, n: int, end: int) -> bool:
-    letter = _next_letter(text, n, end)
-    return letter is None or not _LOWER.match(letter[0])
-
-
-def _next_letter(text: str, n: int, end: int) -> tuple[str, int] | None:
-    """The first letter or digit from ``n`` on, past symbols and strings of special tokens."""
+def _next_letter(text: str, n: int, end: int) -> int:
     while n < end:
         special = _SPECIAL.match(text, n, end)
         if special:
             n = special.end()
             continue
         if _LETTER.match(text, n):
-            return text[n], n
+            return n
         n += 1
-    return None
+    return end
 
 
 def _after_quote(text: str, at: int, e: int, n: int, spaced: bool, letter, lower: bool, quote: int) -> int | None:
@@ -274,7 +303,7 @@ def _after_quote(text: str, at: int, e: int, n: int, spaced: bool, letter, lower
         return e
     c = letter[0]
     cased = _UPPER.match(c) is not None
-    begins = not text[at:quote].strip(SPACE + "\u200b")
+    begins = quote - at < 64 and not text[at:quote].strip(SPACE + "\u200b")
     if not spaced and letter[1] == n:
         # attached words report the quotation, unless it came after its announcement
         return None if begins or not _NO_SPACES.match(c) else e
@@ -308,7 +337,7 @@ def _stop_ends(text: str, at: int, a: int, e: int, n: int, end: int, spaced: boo
         return False  # an initial
     if _INITIALS.fullmatch(word) and len(word) == 3 and _UPPER.match(c):
         return False  # initials without space
-    if bare in ("a.m", "p.m") and len(_ALPHA_WORD.findall(_SPECIAL.sub(" ", text[at:a]))) <= 2:
+    if bare in ("a.m", "p.m") and a - at < 80 and len(_ALPHA_WORD.findall(_SPECIAL.sub(" ", text[at:a]))) <= 2:
         return False  # "At 4 a.m. Mr. Tarn": the sentence has no more than its time yet
     if word.isdigit() and _month(text, first, end):
         return False

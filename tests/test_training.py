@@ -19,7 +19,7 @@ from tidemark.operators.incremental import MerkleRuns, first_run, replay
 from tidemark.storage import Folder, Manifest, PublishConflict
 
 DAY = datetime(2026, 3, 1)
-DELIVERY = "delivery_id bigint, event_id string, projected_at timestamp, extra string, value string, `_best` string"
+DELIVERY = "delivery_id bigint, event_id string, projected_at timestamp, extra string, value string, `_best` string, Part string, b string"
 
 
 # -- messages delivered more than once ---------------------------------------------------------------------------
@@ -29,7 +29,7 @@ def _deliveries(n, seed=0, hot=0.33):
     for i in range(n):
         event = "hot" if rnd.random() < hot else rnd.choice([None, "", *[f"e{k}" for k in range(n // 4)]])
         at = None if rnd.random() < 0.1 else DAY + timedelta(hours=rnd.randint(0, 96))
-        rows.append((i, event, at, rnd.choice([None, "x"]), "payload", "clash"))
+        rows.append((i, event, at, rnd.choice([None, "x"]), "payload", "clash", "p", "b"))
     return rows
 
 
@@ -44,7 +44,7 @@ def _winners(rows):
 
 
 def _store(spark, path, schema):
-    return ExactlyOnceStore(spark, str(path), schema, "event_id", "projected_at", "delivery_id", ["extra", "value", "_best"], index_buckets=4)
+    return ExactlyOnceStore(spark, str(path), schema, "event_id", "projected_at", "delivery_id", ["extra", "value", "_best", "Part", "b"], index_buckets=4)
 
 
 @pytest.mark.parametrize("bulks", [1, 3])
@@ -54,7 +54,7 @@ def test_exactly_one_copy_stays(spark, tmp_path, bulks):
     store = _store(spark, tmp_path, df.schema)
     for b in range(bulks):
         store.apply(df.filter(F.col("delivery_id") % bulks == b), f"bulk-{b}")
-    got = {(r.delivery_id, r.event_id, r.projected_at, r.extra, r.value, r["_best"]) for r in store.winners().collect()}
+    got = {(r.delivery_id, r.event_id, r.projected_at, r.extra, r.value, r["_best"], r["Part"], r["b"]) for r in store.winners().collect()}
     assert got == _winners(rows)
     surplus = [r.delivery_id for r in store.surplus().collect()]
     assert sorted(surplus) == sorted(r[0] for r in rows if r[1] and r not in got)
@@ -62,11 +62,11 @@ def test_exactly_one_copy_stays(spark, tmp_path, bulks):
 
 def test_only_affected_partitions_are_rewritten(spark, tmp_path):
     day = lambda k: DAY + timedelta(days=k)
-    df = spark.createDataFrame([(1, "a", day(0), None, "1", ""), (2, "b", day(1), None, "2", ""), (3, "c", day(2), None, "3", "")], DELIVERY)
+    df = spark.createDataFrame([(1, "a", day(0), None, "1", "", None, None), (2, "b", day(1), None, "2", "", None, None), (3, "c", day(2), None, "3", "", None, None)], DELIVERY)
     store = _store(spark, tmp_path, df.schema)
     store.apply(df)
     before = store.manifest.latest()[1]["parts"]
-    store.apply(spark.createDataFrame([(4, "b", day(3), None, "late", ""), (5, "d", day(2), None, "new", "")], DELIVERY))
+    store.apply(spark.createDataFrame([(4, "b", day(3), None, "late", "", None, None), (5, "d", day(2), None, "new", "", None, None)], DELIVERY))
     state = store.manifest.latest()[1]
     assert state["rewritten"] == ["2026-03-02"]
     assert state["parts"]["2026-03-01"] == before["2026-03-01"]
@@ -76,17 +76,32 @@ def test_only_affected_partitions_are_rewritten(spark, tmp_path):
 
 
 def test_an_earlier_copy_moves_the_winner_to_its_partition(spark, tmp_path):
-    df = spark.createDataFrame([(7, "a", None, None, "null counts as latest", "")], DELIVERY)
+    df = spark.createDataFrame([(7, "a", None, None, "null counts as latest", "", None, None)], DELIVERY)
     store = _store(spark, tmp_path, df.schema)
     store.apply(df)
-    store.apply(spark.createDataFrame([(9, "a", DAY, None, "earlier", "")], DELIVERY))
-    store.apply(spark.createDataFrame([(8, "a", DAY, None, "smaller", "")], DELIVERY))
+    store.apply(spark.createDataFrame([(9, "a", DAY, None, "earlier", "", None, None)], DELIVERY))
+    store.apply(spark.createDataFrame([(8, "a", DAY, None, "smaller", "", None, None)], DELIVERY))
     assert [r.value for r in store.winners().collect()] == ["smaller"]
     assert sorted(r.delivery_id for r in store.surplus().collect()) == [7, 9]
 
 
+def test_a_compacted_store_goes_on(spark, tmp_path):
+    rows = _deliveries(200, 5)
+    df = spark.createDataFrame(rows, DELIVERY)
+    store = _store(spark, tmp_path, df.schema)
+    for b in range(2):
+        store.apply(df.filter(F.col("delivery_id") % 3 == b), f"bulk-{b}")
+    before = sorted(r.delivery_id for r in store.surplus().collect())
+    store.compact(tokens=1)
+    state = store.manifest.latest()[1]
+    assert len(state["index"]) == len(state["surplus"]) == 1 and state["tokens"] == ["bulk-1"]
+    assert sorted(r.delivery_id for r in store.surplus().collect()) == before
+    store.apply(df.filter(F.col("delivery_id") % 3 == 2))
+    assert {r.delivery_id for r in store.winners().collect()} == {r[0] for r in _winners(rows)}
+
+
 def test_bulks_are_idempotent_empty_or_repeated(spark, tmp_path):
-    df = spark.createDataFrame([(1, "a", DAY, None, "x" * 100_000, ""), (1, "a", DAY, None, "x" * 100_000, "")], DELIVERY)
+    df = spark.createDataFrame([(1, "a", DAY, None, "x" * 100_000, "", None, None), (1, "a", DAY, None, "x" * 100_000, "", None, None)], DELIVERY)
     store = _store(spark, tmp_path, df.schema)
     store.apply(df.limit(0), "nothing")
     assert store.winners().count() == 0

@@ -50,6 +50,9 @@ class ExactlyOnceStore:
         self.identifier, self.time, self.sequence = identifier, time, sequence
         self.columns = list(dict.fromkeys([identifier, time, sequence, *columns]))
         self.index_buckets, self.period = index_buckets, period
+        self.folder = "part"  # the partition column's name, which no carried column may have
+        while self.folder.casefold() in {c.casefold() for c in self.columns}:
+            self.folder += "_"
         self.row = T.StructType([schema[c] for c in self.columns])
         self.index_row = T.StructType([T.StructField("id", schema[identifier].dataType), T.StructField("part", T.StringType())])
         self.manifest = Manifest(Folder(spark, root))
@@ -98,6 +101,28 @@ class ExactlyOnceStore:
         known = self.spark.read.schema(bucketed).parquet(*folders)
         return sorted(r[0] for r in known.join(ids, "id", "left_semi").select("part").distinct().collect())
 
+    def _write_index(self, entries: DataFrame, run: str) -> tuple[str, list[int]]:
+        path = f"index/{run}"
+        rows = entries.withColumn("b", self._bucket(F.col("id"))).hint("rebalance", "b")
+        rows.write.partitionBy("b").parquet(f"{self.root}/{path}")
+        return path, [int(n[2:]) for n in Folder(self.spark, f"{self.root}/{path}").names() if n.startswith("b=")]
+
+    def compact(self, tokens: int = 1_000) -> int:
+        """Make the index anew from the winners and unite the surplus, so that long histories stay quick to look up.
+
+        The newest ``tokens`` tokens are kept.  Nothing is removed that a reader of an older manifest may still read.
+        """
+        version, state = self.manifest.latest()
+        run = f"run={version + 1:08d}-{uuid.uuid4().hex[:8]}"
+        entries = self.winners().select(F.col(self.identifier).alias("id"), self._part().alias("part"))
+        path, buckets = self._write_index(entries, run)
+        self.surplus().write.parquet(f"{self.root}/{run}/surplus")
+        self.manifest.publish(version + 1, {
+            **state, "index": [path], "buckets": {path: buckets}, "surplus": [f"{self.root}/{run}/surplus"],
+            "tokens": state.get("tokens", [])[-tokens:], "rewritten": [],
+        })
+        return version + 1
+
     def apply(self, incoming: DataFrame, token: str | None = None) -> int:
         """Take a bulk of deliveries in; returns the published version."""
         version, state = self.manifest.latest()
@@ -110,23 +135,20 @@ class ExactlyOnceStore:
         old = self.affected(candidates, state)
         history = self._rows([p for k in old for p in parts.pop(k, [])])
         winners = self._best(history.unionByName(candidates)) if old else candidates
-        (winners.withColumn("part", self._part()).hint("rebalance", "part")  # a large partition gets several writers
-            .write.partitionBy("part").parquet(f"{self.root}/{run}/data"))
+        (winners.withColumn(self.folder, self._part()).hint("rebalance", self.folder)  # a large partition gets several writers
+            .write.partitionBy(self.folder).parquet(f"{self.root}/{run}/data"))
         data = Folder(self.spark, f"{self.root}/{run}/data")
-        for name in data.names():
-            if name.startswith("part="):
-                parts.setdefault(name[5:], []).append(f"{data.path}/{name}")
-        written = self._rows([f"{data.path}/{n}" for n in data.names() if n.startswith("part=")])
+        names = [n for n in data.names() if n.startswith(f"{self.folder}=")]
+        for name in names:
+            parts.setdefault(name.partition("=")[2], []).append(f"{data.path}/{name}")
+        written = self._rows([f"{data.path}/{n}" for n in names])
         entries = written.select(F.col(self.identifier).alias("id"), self._part().alias("part"))
         if old:  # only identifiers of this bulk can have got a new place; older entries stay true
             entries = entries.join(candidates.select(F.col(self.identifier).alias("id")), "id", "left_semi")
-        index_path = f"index/{run}"
-        (entries.withColumn("b", self._bucket(F.col("id"))).hint("rebalance", "b")
-            .write.partitionBy("b").parquet(f"{self.root}/{index_path}"))
+        index_path, buckets = self._write_index(entries, run)
         losers = rows.unionByName(history) if old else rows
         losers = losers.join(written.select(self.sequence), self.sequence, "left_anti").select(*self.columns)
         losers.write.parquet(f"{self.root}/{run}/surplus")
-        buckets = [int(n[2:]) for n in Folder(self.spark, f"{self.root}/{index_path}").names() if n.startswith("b=")]
         self.manifest.publish(version + 1, {
             "parts": parts,
             "index": [*state.get("index", []), index_path],

@@ -125,7 +125,10 @@ def test_runs_skip_nothing_and_repeat_nothing(spark, tmp_path):
     assert names(runs.run(make(more))) == ["late", "new", "nokey"]
     assert names(runs.run(make([]))) == []
     assert names(runs.run(make(more))) == []
-    assert runs.outputs().count() == 43
+    moved = more + [("e30", 2), ("e31", 2)]
+    assert names(runs.run(make(moved))) == []
+    assert names(runs.run(make(moved + [("beside", 2)]))) == ["beside"]  # the moved records are known in their new leaf
+    assert runs.outputs().count() == 44
 
 
 def _brute_replay(deliveries, runs, journal):

@@ -42,13 +42,15 @@ INLINE_RUNS = 256
 DIGEST = ("n", "h1", "h2")
 
 
-def digests(identifier: Column, where: Column | None = None, prefix: str = "") -> list[Column]:
-    """Aggregates that make the digest of a set of distinct identifiers (hash-aggregated, combined map-side)."""
-    only = (lambda c: c) if where is None else (lambda c: F.when(where, c))
+def digests(identifier: Column, leaf: Column) -> list[Column]:
+    """Aggregates that make the digest of a set of distinct identifiers (hash-aggregated, combined map-side).
+
+    The leaf takes part, so that a record that moves to another leaf changes every node above either.
+    """
     return [
-        F.count(only(F.lit(1))).alias(f"{prefix}n"),
-        F.coalesce(F.bit_xor(only(F.xxhash64(identifier, F.lit("a")))), F.lit(0)).alias(f"{prefix}h1"),
-        F.coalesce(F.bit_xor(only(F.xxhash64(F.lit("b"), identifier))), F.lit(0)).alias(f"{prefix}h2"),
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64(identifier, leaf, F.lit("a"))).alias("h1"),
+        F.bit_xor(F.xxhash64(F.lit("b"), leaf, identifier)).alias("h2"),
     ]
 
 
@@ -88,40 +90,47 @@ def _leaf(key: Column, bits: int) -> Column:
 
 
 class MerkleRuns:
-    """Incremental runs over a table of records, with the saved tree beside the published output."""
+    """Incremental runs over a table of records, with the saved tree beside the published output.
+
+    Published are the output of each run, the tree of the input it saw, and the places of known records: (leaf,
+    identifier), sorted by leaf.  A run reads the places of changed leaves only.  A record whose smallest key has fallen
+    since lies in another leaf than before; both leaves differ then, so its old place is found and it is not new.
+    """
 
     def __init__(self, spark: SparkSession, root: str, identifier: str, key: str, id_type: T.DataType | None = None, leaf_bits: int = LEAF_BITS):
         self.spark, self.root, self.identifier, self.key, self.leaf_bits = spark, root, identifier, key, leaf_bits
         self.manifest = Manifest(Folder(spark, root))
-        self.out = T.StructType([T.StructField("leaf", T.LongType()), T.StructField(identifier, id_type or T.StringType())])
+        self.out = T.StructType([T.StructField(identifier, id_type or T.StringType())])
+        self.place = T.StructType([T.StructField("leaf", T.LongType()), T.StructField("id", id_type or T.StringType())])
         self.tree = T.StructType([T.StructField("leaf", T.LongType())] + [T.StructField(d, T.LongType()) for d in DIGEST])
 
     def outputs(self) -> DataFrame:
         """Everything published so far."""
-        return read_paths(self.spark, self.manifest.latest()[1].get("outputs", []), self.out).select(self.identifier)
+        return read_paths(self.spark, self.manifest.latest()[1].get("outputs", []), self.out)
 
     def run(self, records: DataFrame, publish: bool = True) -> DataFrame:
         """The identifiers to process in this run. With ``publish=False`` the run dies before it publishes."""
         version, state = self.manifest.latest()
         run = f"{self.root}/run={version + 1:08d}-{uuid.uuid4().hex[:8]}"
-        keyed = records.filter(F.col(self.identifier) != "").groupBy(self.identifier).agg(F.min(self.key).alias("_key"))
-        saved_rows = read_paths(self.spark, state.get("outputs", []), self.out)
-        # a record keeps the leaf it was published under, so a smaller key delivered later moves nothing
-        current = keyed.join(saved_rows.withColumnRenamed("leaf", "_old"), self.identifier, "left")
-        current = write_once(current.select(F.coalesce("_old", _leaf(F.col("_key"), self.leaf_bits)).alias("leaf"), self.identifier), f"{run}/current")
-        now = current.groupBy("leaf").agg(*digests(F.col(self.identifier), prefix="c_"))
+        named = records.filter(F.col(self.identifier) != "").select(F.col(self.identifier).alias("id"), F.col(self.key).alias("key"))
+        current = named.groupBy("id").agg(F.min("key").alias("key")).select(_leaf(F.col("key"), self.leaf_bits).alias("leaf"), "id")
+        current = write_once(current, f"{run}/current")
+        tree = write_once(current.groupBy("leaf").agg(*digests(F.col("id"), F.col("leaf"))), f"{run}/tree")
         saved = read_paths(self.spark, state.get("tree", []), self.tree)
-        both = now.join(saved.select("leaf", *[F.col(d).alias(f"s_{d}") for d in DIGEST]), "leaf", "full_outer").na.fill(0)
-        differs = lambda t: t.filter(_unequal("c_", "s_")).select("node")
-        changed = descend(both, differs)
-        fresh = extract(current, changed, ["leaf"]).join(saved_rows.select(self.identifier), self.identifier, "left_anti")
-        fresh = write_once(fresh.select("leaf", self.identifier), f"{run}/output")
-        # what stays known although it has left the input stays in the tree: the tree is that of all outputs
-        tree = saved.unionByName(fresh.groupBy("leaf").agg(*digests(F.col(self.identifier)))).groupBy("leaf").agg(*merged())
-        write_once(tree, f"{run}/tree")
+        sides = [t.select("leaf", *[F.col(d).alias(f"{p}{d}") for d in DIGEST]) for t, p in ((tree, "c_"), (saved, "s_"))]
+        both = sides[0].join(sides[1], "leaf", "full_outer").na.fill(0)
+        changed = write_once(descend(both, lambda t: t.filter(_unequal("c_", "s_")).select("node")), f"{run}/changed")
+        candidates = extract(current, changed, ["leaf"])
+        known = extract(read_paths(self.spark, state.get("places", []), self.place), changed, ["leaf"])
+        fresh = write_once(candidates.join(known, "id", "left_anti").select(F.col("id").alias(self.identifier)), f"{run}/output")
+        places = candidates.join(known, ["leaf", "id"], "left_anti").select("leaf", "id")
+        places.repartitionByRange("leaf").sortWithinPartitions("leaf").write.parquet(f"{run}/places")
         if publish:
-            self.manifest.publish(version + 1, {"outputs": [*state.get("outputs", []), f"{run}/output"], "tree": [f"{run}/tree"]})
-        return fresh.select(self.identifier)
+            self.manifest.publish(version + 1, {
+                "outputs": [*state.get("outputs", []), f"{run}/output"], "places": [*state.get("places", []), f"{run}/places"], "tree": [f"{run}/tree"],
+            })
+        Folder(self.spark, run).remove("current")
+        return fresh
 
 
 def _unequal(a: str, b: str) -> Column:
@@ -185,7 +194,7 @@ def replay(
     tagged = write_once(tagged, f"{root}/tagged")
     saved_from = F.coalesce(next_run(F.col("_done"), ids, True), next_run(F.col("run_id"), ids, True))
     # one pass: digests by leaf and (run that adds to the current tree, run that adds to the saved tree)
-    by_both = tagged.groupBy("leaf", "run_id", saved_from.alias("_saved")).agg(*digests(F.col(identifier)))
+    by_both = tagged.groupBy("leaf", "run_id", saved_from.alias("_saved")).agg(*digests(F.col(identifier), F.col("leaf")))
     zero = [F.lit(0).cast("bigint")] * 3
     adds = by_both.select("leaf", F.explode(F.array(
         F.struct(F.col("run_id").alias("run"), *[F.col(d).alias(f"c_{d}") for d in DIGEST], *[z.alias(f"s_{d}") for z, d in zip(zero, DIGEST)]),

@@ -10,7 +10,7 @@ from tidemark.operators.changefeed import change_images, current_state, first_de
 from tidemark.operators import drift
 from tidemark.operators.dedup import ExactlyOnceStore
 from tidemark.operators.diff import compare_copies
-from tidemark.operators.incremental import replay
+from tidemark.operators.incremental import MerkleRuns, replay
 from tidemark.sources.tables import table
 from tidemark.storage import scratch, write_once
 
@@ -39,6 +39,15 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return replay(table(spark, d, "mutations"), table(spark, d, "run_log"), table(spark, d, "run_journal"), scratch(spark, "runs"))
 
 
+def p2_increment(spark: SparkSession, d: str) -> DataFrame:
+    """The production store: one run over the first half of the batches, then what a run over all has still to process."""
+    mutations = table(spark, d, "mutations")
+    low, high = mutations.agg(F.min("batch_id"), F.max("batch_id")).first()
+    runs = MerkleRuns(spark, scratch(spark, "merkle"), "event_id", "source_sequence")
+    runs.run(mutations.filter(F.col("batch_id") <= ((low or 0) + (high or 0)) // 2))
+    return runs.run(mutations)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     root = scratch(spark, "drift")
     return drift.report(table(spark, d, "mutations"), lambda df, name: write_once(df, f"{root}/{name}"))
@@ -64,11 +73,19 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return current_state(changes, "record", "sequence", "image").select(F.col("image").alias("event_id"))
 
 
+def p4_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """The current payload of each record that exists: that of the first delivery of the event that gives its state."""
+    rows = table(spark, d, "mutations").select("event_id", "delivery_id", "resource_ref", "source_sequence", "payload")
+    rows = rows.join(p4_found(spark, d), "event_id", "left_semi")
+    best = rows.groupBy("event_id").agg(F.min_by(F.struct("resource_ref", "source_sequence", "payload"), "delivery_id").alias("c"))
+    return best.select("event_id", "c.*")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return compare_copies(table(spark, d, "docs_primary"), table(spark, d, "docs_replica"), "m_document_id", ignore=("m_projected_at",))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p2_found, p3_found, p3_unified, p4_found, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p2_found, p2_increment, p3_found, p3_unified, p4_found, p4_payloads, p5_found)}
 
 _VALID = "event_id is not null and event_id <> ''"
 _P5 = [
@@ -121,3 +138,6 @@ SQL = {
         select m_document_id, 'only_primary' finding, '' field_name from j where rk is null union all select m_document_id, 'only_replica', '' from j where pk is null """
     + " ".join(f"union all select m_document_id, 'differs', '{c}' from j where pk is not null and rk is not null and d_{c}" for c in _P5),
 }
+
+SQL["p2_increment"] = f"select event_id from mutations where {_VALID} group by 1 having min(batch_id) > (select (min(batch_id) + max(batch_id)) // 2 from mutations)"
+SQL["p4_payloads"] = f"select event_id, resource_ref, source_sequence, payload from (select *, row_number() over (partition by event_id order by delivery_id) k from mutations where event_id in ({SQL['p4_found']})) where k = 1"

@@ -145,7 +145,10 @@ def _brute_replay(deliveries, runs, journal):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_replay_of_a_run_log(spark, tmp_path, seed):
+def test_replay_of_a_run_log(spark, tmp_path, seed, monkeypatch):
+    if seed == 2:  # the way beyond the bound of the broadcast
+        monkeypatch.setattr("tidemark.operators.incremental.BROADCAST_LEAVES", 0)
+        monkeypatch.setattr("tidemark.operators.incremental.INLINE_RUNS", 0)
     rnd = random.Random(seed)
     at = lambda k: DAY + timedelta(hours=k)
     deliveries = [(rnd.choice([None, "", *[f"e{k}" for k in range(60)]]), None if rnd.random() < 0.05 else at(rnd.randint(0, 50)), rnd.randint(1, 99)) for _ in range(200)]
@@ -246,7 +249,9 @@ def _drift(spark, checkpoint, shapes):
     return sorted((r.schema_version, r.change, r.field, r.new_field) for r in drift.report(df, checkpoint).collect())
 
 
-def test_every_kind_of_change(spark, checkpoint):
+@pytest.mark.parametrize("bound", [10_000, 0])
+def test_every_kind_of_change(spark, checkpoint, monkeypatch, bound):
+    monkeypatch.setattr(drift, "BROADCAST_SHAPES", bound)
     old = [{"id": str(k), "Title": f"t{k}", "n": k, "gone": k % 2, "in": {"a": k}, "empty": {}} for k in range(20)]
     new = [{"id": str(k), "title": f"t{k}", "n": f"{k}", "in": {"a": k + 0.5}, "fresh": [k]} for k in range(20)]
     assert _drift(spark, checkpoint, [old, new]) == [

@@ -97,7 +97,7 @@ class Session:
             if not self.spark.catalog.functionExists(name):
                 raise FeatureMissing("a function is missing")
         for f in store.layout.text_fields:
-            if not analyse("Meridional archives 检索", chain_of(f.language, store.layout.analysis)):
+            if not analyse("Northern archives 检索", chain_of(f.language, store.layout.analysis)):
                 raise FeatureMissing("an analysis yields nothing")
         number = store.active()
         if len(set(store.aliases().values())) != 1:

@@ -2,7 +2,7 @@
 
 import json
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from hypothesis import given, settings
@@ -15,7 +15,7 @@ from tidemark.operators import drift
 from tidemark.operators.changefeed import change_images, current_state, first_deliveries
 from tidemark.operators.dedup import ExactlyOnceStore
 from tidemark.operators.diff import compare_copies
-from tidemark.operators.incremental import MerkleRuns, first_run, replay
+from tidemark.operators.incremental import MerkleRuns, first_run, micros, replay
 from tidemark.storage import Folder, Manifest, PublishConflict
 
 DAY = datetime(2026, 3, 1)
@@ -171,9 +171,10 @@ def test_replay_without_runs(spark, tmp_path):
 
 
 def test_a_long_run_log_is_searched(spark):
-    runs = [(i, DAY + timedelta(minutes=i)) for i in range(400)]
+    runs = [(i, (DAY + timedelta(minutes=i)).replace(tzinfo=timezone.utc).timestamp() * 1_000_000) for i in range(400)]
+    runs = [(i, int(at)) for i, at in runs]
     df = spark.createDataFrame([(DAY + timedelta(minutes=m),) for m in (0, 17, 399, 400)] + [(None,)], "at timestamp")
-    assert [r[0] for r in df.select(first_run(F.col("at"), runs)).collect()] == [0, 17, 399, None, None]
+    assert [r[0] for r in df.select(first_run(micros(F.col("at")), runs)).collect()] == [0, 17, 399, None, None]
 
 
 # -- changes applied -----------------------------------------------------------------------------------------------

@@ -140,8 +140,16 @@ def _unequal(a: str, b: str) -> Column:
     return out
 
 
-def first_run(seen: Column, runs: Sequence[tuple[int, object]]) -> Column:
-    """The smallest run whose snapshot is not before ``seen``; null if there is none. ``runs``: (id, snapshot), by id."""
+def micros(time: Column) -> Column:
+    """Microseconds of a time with or without zone, so that no zone of a Python process takes part."""
+    return F.unix_micros(time.cast("timestamp"))
+
+
+def first_run(seen: Column, runs: Sequence[tuple[int, int | None]]) -> Column:
+    """The smallest run whose snapshot is not before ``seen``; null if there is none.
+
+    ``seen`` and the snapshots are microseconds; ``runs`` has (id, snapshot) by id.
+    """
     steps, highest = [], None
     for run, snapshot in runs:
         if snapshot is not None and (highest is None or snapshot > highest):
@@ -153,11 +161,11 @@ def first_run(seen: Column, runs: Sequence[tuple[int, object]]) -> Column:
             out = F.when(seen <= F.lit(snapshot), F.lit(run).cast("int")).otherwise(out)
         return out
     ids = np.array([r for r, _ in steps] + [0])
-    cuts = np.array([np.datetime64(s, "us") for _, s in steps])
+    cuts = np.array([s for _, s in steps], dtype=np.int64)
 
     @F.pandas_udf("int")
     def search(at: pd.Series) -> pd.Series:
-        found = np.searchsorted(cuts, at.to_numpy(dtype="datetime64[us]"), side="left")
+        found = np.searchsorted(cuts, at.fillna(0).to_numpy(dtype=np.int64), side="left")
         return pd.Series(ids[found], dtype="Int32").mask((found == len(cuts)) | at.isna().to_numpy())
 
     return search(seen)
@@ -180,10 +188,10 @@ def replay(
     """
     spark = deliveries.sparkSession
     ship(spark)
-    runs = [(r[0], r[1]) for r in run_log.filter("run_state = 'succeeded'").select("run_id", "snapshot_at").orderBy("run_id").collect()]
+    runs = [(r[0], r[1]) for r in run_log.filter("run_state = 'succeeded'").select("run_id", micros(F.col("snapshot_at")).alias("snapshot_at")).orderBy("run_id").collect()]
     if not runs:
         return spark.createDataFrame([], f"run_id int, {identifier} string")
-    events = deliveries.filter(F.col(identifier) != "").groupBy(identifier).agg(F.min("received_at").alias("_seen"), F.min(key).alias("_key"))
+    events = deliveries.filter(F.col(identifier) != "").groupBy(identifier).agg(F.min(micros(F.col("received_at"))).alias("_seen"), F.min(key).alias("_key"))
     final = journal.filter((F.col(identifier) != "") & (F.col("outcome") != "retryable")).groupBy(identifier).agg(F.min("run_id").alias("_done"))
     ids = [r for r, _ in runs]
     tagged = events.withColumn("run_id", first_run(F.col("_seen"), runs)).filter("run_id is not null").join(final, identifier, "left")

@@ -1,5 +1,6 @@
 """The search engine's closed parts: values, layouts, requests, predicates, cursors, analysis."""
 
+import math
 import random
 from dataclasses import replace
 from datetime import UTC, datetime, timedelta, timezone
@@ -311,6 +312,30 @@ def test_edits(spark):
     assert fuzzy_terms(vocabulary, ["ledgr"], 1) == {"ledgr": ["ledger"]} and fuzzy_terms(vocabulary, ["ledgr"], 2) == {"ledgr": ["ledger", "ledges", "led"]}
 
 
+def test_fuzzy_terms_have_no_cap(spark):
+    """More near terms than are literals: matches, scores and pages are those of a brute force."""
+    near = ["d" + a + b for a in "abcdefghij" for b in "klmnopqrst"]  # 100 terms within 2 edits of "der"
+    layout = compile_layout(Schema("structured:t.fuzzy", (Field("k", "int64"), Field("s", "string"), Field("e", "string", language="en")), ("k",)), SearchProfile(("s", "e")))
+    rows = [(k, f"{t} zzzzzz {near[k // 2]} zzzzzz", "zzzzzz " * k + t) for k, t in enumerate(near)] + [(100, "zzzzzz", "zzzzzz"), (101, None, None)]
+    df = spark.createDataFrame(rows, "k int, s string, e string")
+    docs = as_documents(df, layout, {"k": F.col("k"), "s": F.col("s"), "e": F.col("e")}, F.col("k").cast("string"))
+    make = lambda **q: Search(from_mapping(layout, {"resource": layout.resource, "query": {"text": "der", "fuzziness": 2, **q}, "where": {}, "facets": [], "highlights": [], "limit": 5}), docs, "all")
+    assert {int(r.m_document_id) for r in make(fields=["s"], operator="and").matched.collect()} == set(range(100))
+    search = make(fields=["s", "e"])
+    got = {int(r.m_document_id): r.score for r in search.scored().collect()}
+    assert sorted(got) == list(range(100)) and len(search.page()["items"]) == 5
+
+    def brute(column, chain):
+        texts = {r[0]: analyse(r[column], chain) for r in rows if r[column] is not None}
+        average, vocabulary = sum(map(len, texts.values())) / len(texts), {t for ts in texts.values() for t in ts}
+        df = {t: sum(t in ts for ts in texts.values()) for t in vocabulary if edits("der", t, 2) <= 2}
+        weight = {t: math.log(1 + (len(texts) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+        return {k: sum(w * n / (n + 1.2 * (0.25 + 0.75 * len(ts) / average)) for t, w in weight.items() if (n := ts.count(t))) for k, ts in texts.items()}
+
+    plain, stemmed = brute(1, "default"), brute(2, "english")
+    assert all(got[k] == pytest.approx(max(plain[k], stemmed[k]), rel=1e-12) for k in range(100))
+
+
 def test_long_keywords_are_not_found_exactly(spark):
     layout = compile_layout(Schema("structured:t.long", (Field("k", "int64"), Field("s", "string")), ("k",)), SearchProfile(("s",), analysis="plain"))
     df = spark.createDataFrame([(1, "x" * 40_000), (2, "x")], "k bigint, s string")

@@ -194,11 +194,11 @@ def edits(a: str, b: str, most: int) -> int:
     return min(row[-1], most + 1)
 
 
-def fuzzy_terms(vocabulary, terms: Iterable[str], most: int, expansions: int = 50) -> dict[str, list[str]]:
-    """For each term its closest terms of the vocabulary (a DataFrame with ``term`` and ``df``), nearest first.
+def fuzzy_terms(vocabulary, terms: Iterable[str], most: int) -> dict[str, list[str]]:
+    """For each term all terms of the vocabulary (a DataFrame with ``term`` and ``df``) within the distance, nearest first.
 
-    The distance runs in Arrow batches over the vocabulary, whose length ranges are filtered first; what returns is at
-    most ``expansions`` terms for each term of the query.
+    The distance runs in Arrow batches over the vocabulary, whose length ranges are filtered first; only the near terms
+    return, and all of them.
     """
     terms = sorted(set(terms))
     if not terms or most == 0:
@@ -214,10 +214,7 @@ def fuzzy_terms(vocabulary, terms: Iterable[str], most: int, expansions: int = 5
         return pd.Series([[edits(t, c, most) for t in terms] for c in candidates], dtype=object)
 
     rows = vocabulary.filter(near).select("term", "df", F.posexplode(distances("term")).alias("k", "d")).filter(F.col("d") <= most)
-    from pyspark.sql import Window as W
-
-    best = rows.withColumn("r", F.row_number().over(W.partitionBy("k").orderBy("d", F.desc("df"), "term"))).filter(F.col("r") <= expansions)
     out: dict[str, list[str]] = {t: [] for t in terms}
-    for r in best.orderBy("k", "r").collect():
+    for r in sorted(rows.collect(), key=lambda r: (r.k, r.d, -r.df, r.term)):
         out[terms[r.k]].append(r.term)
     return out

@@ -2,6 +2,9 @@
 
 Scores are therefore the same in every run and page, which the cursors rely on.  Statistics are those of the whole
 generation before any filter; tombstones have no tokens and do not count.  The best field decides for a document.
+
+A fuzzy text may have any number of terms.  Up to ``LITERAL_TERMS`` they are literals of the plan; a longer list goes to
+the executors once and is looked up in Arrow batches, its contributions summed in the order of the list.
 """
 
 from __future__ import annotations
@@ -10,6 +13,9 @@ import math
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +24,7 @@ from tidemark.engine.layout import FieldLayout, Layout
 from tidemark.engine.predicate import Text
 
 K1, B = 1.2, 0.75
+LITERAL_TERMS = 50
 
 
 @dataclass(frozen=True)
@@ -60,6 +67,27 @@ def analysed(layout: Layout, text: Text, docs: DataFrame) -> list[Groups]:
     return out
 
 
+def _places(tokens: pa.Array, terms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place in the list) of each token that is in the list."""
+    at = pc.index_in(tokens.flatten(), value_set=pa.array(terms, pa.string())).fill_null(-1).to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(tokens)), pc.list_value_length(tokens).fill_null(0).to_numpy(zero_copy_only=False))
+    return rows[at >= 0], at[at >= 0].astype(np.int64)
+
+
+def _any_of(tokens: Column, terms: Iterable[str]) -> Column:
+    terms = list(terms)
+    if len(terms) <= LITERAL_TERMS:
+        return F.arrays_overlap(tokens, F.array(*map(F.lit, terms)))
+
+    @F.arrow_udf("boolean")
+    def found(tokens: pa.Array) -> pa.Array:
+        out = np.zeros(len(tokens), dtype=bool)
+        out[_places(tokens, terms)[0]] = True
+        return pa.array(out)
+
+    return found(tokens)
+
+
 def matches(groups: Iterable[Groups], every: bool) -> Column:
     """The filter: any term in any field, or all of them within one field."""
     any_field = F.lit(False)
@@ -70,22 +98,28 @@ def matches(groups: Iterable[Groups], every: bool) -> Column:
         if every:
             found = F.lit(True)
             for alternatives in g.groups:
-                found = found & F.arrays_overlap(tokens, F.array(*map(F.lit, alternatives)))
+                found = found & _any_of(tokens, alternatives)
         elif not g.terms:
             continue
         else:
-            found = F.arrays_overlap(tokens, F.array(*map(F.lit, g.terms)))
+            found = _any_of(tokens, g.terms)
         any_field = any_field | F.coalesce(found, F.lit(False))
     return any_field
 
 
 def statistics(docs: DataFrame, groups: Iterable[Groups]) -> Statistics:
-    """Counts of the whole generation, in one pass over the token columns."""
+    """Counts of the whole generation, in one pass over the token columns; fields with a long list take a pass of their own."""
     groups = list({(g.field.name, g.groups): g for g in groups}.values())
-    terms = list(dict.fromkeys((g.field.name, t) for g in groups for t in g.terms))
     fields = {g.field.name: g.field for g in groups}
     if not fields:
         return Statistics({}, {}, {})
+    wanted = {n: list(dict.fromkeys(t for g in groups if g.field.name == n for t in g.terms)) for n in fields}
+    frequency: dict[tuple[str, str], int] = {}
+    for n in [n for n in fields if len(wanted[n]) > LITERAL_TERMS]:
+        listed = docs.sparkSession.createDataFrame([(t,) for t in wanted[n]], "term string")
+        found = vocabulary(docs, fields[n]).join(F.broadcast(listed), "term", "left_semi").collect()
+        frequency |= dict.fromkeys(((n, t) for t in wanted.pop(n)), 0) | {(n, r.term): r.df for r in found}
+    terms = [(n, t) for n, ts in wanted.items() for t in ts]
     aggregates = []
     for i, f in enumerate(fields.values()):
         aggregates += [F.count(f.tokens).alias(f"n{i}"), F.sum(f.length).alias(f"l{i}")]
@@ -93,7 +127,7 @@ def statistics(docs: DataFrame, groups: Iterable[Groups]) -> Statistics:
     row = docs.agg(*aggregates).first()
     counts = {n: row[f"n{i}"] for i, n in enumerate(fields)}
     average = {n: (row[f"l{i}"] or 0) / max(1, counts[n]) for i, n in enumerate(fields)}
-    return Statistics(counts, average, {t: row[f"d{i}"] for i, t in enumerate(terms)})
+    return Statistics(counts, average, frequency | {t: row[f"d{i}"] for i, t in enumerate(terms)})
 
 
 def idf(documents: int, frequency: int) -> float:
@@ -105,16 +139,34 @@ def contribution(tf: Column, length: Column, weight: float, average: float) -> C
     return F.lit(weight) * tf / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / F.lit(average or 1.0)))
 
 
+def _listed(tokens: Column, length: Column, weights: Mapping[str, float], average: float) -> Column:
+    """The sum of the contributions of a long list of terms."""
+    terms, values, average = list(weights), np.array(list(weights.values())), average or 1.0
+
+    @F.arrow_udf("double")
+    def total(tokens: pa.Array, length: pa.Array) -> pa.Array:
+        rows, at = _places(tokens, terms)
+        pairs, tf = np.unique(rows * len(terms) + at, return_counts=True)
+        rows, at = np.divmod(pairs, len(terms))
+        sizes = length.fill_null(0).to_numpy(zero_copy_only=False)[rows]
+        parts = values[at] * tf / (tf + K1 * ((1 - B) + B * sizes / average))
+        return pa.array(np.bincount(rows, weights=parts, minlength=len(tokens)).astype(float))
+
+    return total(tokens, length)
+
+
 def score(groups: Iterable[Groups], stats: Statistics, matched: Column) -> Column:
     """The score of one text: of its best field, 0 where the text does not match."""
     fields = []
     for g in groups:
         total = F.lit(0.0)
         tokens, length = F.col(g.field.tokens), F.col(g.field.length)
-        for t in g.terms:
+        weights = {t: idf(stats.documents[g.field.name], stats.frequency[g.field.name, t]) for t in g.terms}
+        if len(weights) > LITERAL_TERMS:
+            total, weights = _listed(tokens, length, weights, stats.average[g.field.name]), {}
+        for t, weight in weights.items():
             # array positions beat a filter lambda: removal of the term leaves the length to compare with
             tf = F.size(tokens) - F.size(F.array_remove(tokens, t))
-            weight = idf(stats.documents[g.field.name], stats.frequency[g.field.name, t])
             total = total + F.when(tf > 0, contribution(tf, length, weight, stats.average[g.field.name])).otherwise(0.0)
         fields.append(F.coalesce(total, F.lit(0.0)))
     best = fields[0] if len(fields) == 1 else F.greatest(*fields) if fields else F.lit(0.0)

@@ -186,6 +186,7 @@ def _fuzzy_sql(word: str, most: int) -> str:
 
 _put("fulltext_fuzzy1", lambda s, d: _ids(_search(s, d, DOCUMENTS, query={"text": "legder", "fuzziness": 1})), _fuzzy_sql("legder", 1))
 _put("fulltext_fuzzy2", lambda s, d: _ids(_search(s, d, DOCUMENTS, query={"text": "manfist", "fuzziness": 2})), _fuzzy_sql("manfist", 2))
+_put("fulltext_fuzzy_short", lambda s, d: _ids(_search(s, d, DOCUMENTS, query={"text": "der", "fuzziness": 2})), _fuzzy_sql("der", 2))
 _put("fulltext_en_stemmed", lambda s, d: _scored(_search(s, d, ENGLISH, {"lang": "en"}, "highlights rejecting")))
 
 

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.jsonvalue import canonical_json, is_json_null, is_json_object
-from tidemark.operators import drift
+from tidemark.operators import drift, incremental
 from tidemark.operators.changefeed import change_images, current_state, first_deliveries
 from tidemark.operators.dedup import ExactlyOnceStore
 from tidemark.operators.diff import compare_copies
-from tidemark.operators.incremental import MerkleRuns, first_run, micros, replay
+from tidemark.operators.incremental import MerkleRuns, first_run, micros, next_run, replay
 from tidemark.storage import Folder, Manifest, PublishConflict
 
 DAY = datetime(2026, 3, 1)
@@ -163,6 +163,17 @@ def test_replay_of_a_run_log(spark, tmp_path, seed, monkeypatch):
     assert len(rows) == len(set(rows)) and set(rows) == _brute_replay(deliveries, runs, journal)
 
 
+def test_rows_of_a_replay_follow_from_the_trees(spark, tmp_path, monkeypatch):
+    """A saved tree that lags one more run behind leaves a record in the difference of two runs."""
+    deliveries = spark.createDataFrame([("a", 1, datetime(2026, 1, 1)), ("b", 2, datetime(2026, 1, 2))], "event_id string, source_sequence bigint, received_at timestamp")
+    runs = spark.createDataFrame([(k, datetime(2026, 1, k), "succeeded") for k in (1, 2, 3, 4)], "run_id int, snapshot_at timestamp, run_state string")
+    journal = spark.createDataFrame([], "run_id int, event_id string, outcome string")
+    found = lambda name: sorted(map(tuple, replay(deliveries, runs, journal, f"{tmp_path}/{name}").collect()))
+    assert found("plain") == [(1, "a"), (2, "b")]
+    monkeypatch.setattr(incremental, "next_run", lambda after, ids, strictly: next_run(next_run(after, ids, True), ids, True))
+    assert found("late") == [(1, "a"), (2, "a"), (2, "b"), (3, "b")]
+
+
 def test_replay_without_runs(spark, tmp_path):
     empty = spark.createDataFrame([], "event_id string, received_at timestamp, source_sequence bigint")
     runs = spark.createDataFrame([(1, DAY, "failed")], "run_id int, snapshot_at timestamp, run_state string")

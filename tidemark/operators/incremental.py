@@ -81,8 +81,12 @@ def descend(leaves: DataFrame, differs, by: Sequence[str] = (), fan_bits: int =
 
 def extract(records: DataFrame, changed: DataFrame, on: Sequence[str]) -> DataFrame:
     """The records in changed leaves; the leaves' table is counted, and broadcast only if it is small."""
+    return records.join(_sized(changed), list(on), "left_semi")
+
+
+def _sized(changed: DataFrame) -> DataFrame:
     small = changed.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES
-    return records.join(F.broadcast(changed) if small else changed, list(on), "left_semi")
+    return F.broadcast(changed) if small else changed
 
 
 def _leaf(key: Column, bits: int) -> Column:
@@ -184,7 +188,8 @@ def replay(
 
     The log is metadata of one row per run and comes to the driver.  An identifier enters the current tree with the
     first succeeded run whose snapshot has it, and the saved tree with the run after, or with the first succeeded run
-    after one that left it a final outcome in the journal.  Where the two trees differ at a run, that run has work.
+    after one that left it a final outcome in the journal.  Where the two trees differ at a run, that run has work: the
+    records of the leaf that are in its current tree and not in its saved tree.
     """
     spark = deliveries.sparkSession
     ship(spark)
@@ -194,18 +199,15 @@ def replay(
     events = deliveries.filter(F.col(identifier) != "").groupBy(identifier).agg(F.min(micros(F.col("received_at"))).alias("_seen"), F.min(key).alias("_key"))
     final = journal.filter((F.col(identifier) != "") & (F.col("outcome") != "retryable")).groupBy(identifier).agg(F.min("run_id").alias("_done"))
     ids = [r for r, _ in runs]
-    tagged = events.withColumn("run_id", first_run(F.col("_seen"), runs)).filter("run_id is not null").join(final, identifier, "left")
-    tagged = tagged.select(
-        identifier, _leaf(F.col("_key"), leaf_bits).alias("leaf"), "run_id",
-        F.when(F.col("_done") < F.col("run_id"), F.col("_done")).alias("_done"),
-    )
-    tagged = write_once(tagged, f"{root}/tagged")
-    saved_from = F.coalesce(next_run(F.col("_done"), ids, True), next_run(F.col("run_id"), ids, True))
+    known = events.withColumn("_from", first_run(F.col("_seen"), runs)).filter("_from is not null").join(final, identifier, "left")
+    early = F.when(F.col("_done") < F.col("_from"), F.col("_done"))
+    saved_from = F.coalesce(next_run(early, ids, True), next_run(F.col("_from"), ids, True))
+    known = write_once(known.select(identifier, _leaf(F.col("_key"), leaf_bits).alias("leaf"), "_from", saved_from.alias("_saved")), f"{root}/known")
     # one pass: digests by leaf and (run that adds to the current tree, run that adds to the saved tree)
-    by_both = tagged.groupBy("leaf", "run_id", saved_from.alias("_saved")).agg(*digests(F.col(identifier), F.col("leaf")))
+    by_both = known.groupBy("leaf", "_from", "_saved").agg(*digests(F.col(identifier), F.col("leaf")))
     zero = [F.lit(0).cast("bigint")] * 3
     adds = by_both.select("leaf", F.explode(F.array(
-        F.struct(F.col("run_id").alias("run"), *[F.col(d).alias(f"c_{d}") for d in DIGEST], *[z.alias(f"s_{d}") for z, d in zip(zero, DIGEST)]),
+        F.struct(F.col("_from").alias("run"), *[F.col(d).alias(f"c_{d}") for d in DIGEST], *[z.alias(f"s_{d}") for z, d in zip(zero, DIGEST)]),
         F.struct(F.col("_saved").alias("run"), *[z.alias(f"c_{d}") for z, d in zip(zero, DIGEST)], *[F.col(d).alias(f"s_{d}") for d in DIGEST]),
     )).alias("x")).select("leaf", "x.*").filter("run is not null")
     leaves = write_once(adds.groupBy("leaf", "run").agg(*merged("c_"), *merged("s_")), f"{root}/leaves")
@@ -216,7 +218,9 @@ def replay(
         return level.select("node", "run", *states).filter(_unequal("c_", "s_")).select("node", "run")
 
     changed = write_once(descend(leaves, differs, ["run"]).withColumnRenamed("run", "run_id"), f"{root}/changed")
-    fresh = extract(tagged.filter("_done is null"), changed, ["leaf", "run_id"]).select("run_id", identifier)
-    fresh = write_once(fresh, f"{root}/output")
+    # of a leaf changed at a run, what the snapshot has and the saved state lacks: that begins at a run that adds to a tree
+    # and ends with the next run
+    fresh = known.join(_sized(changed), "leaf").filter((F.col("_from") <= F.col("run_id")) & (F.col("_saved").isNull() | (F.col("run_id") < F.col("_saved"))))
+    fresh = write_once(fresh.select("run_id", identifier), f"{root}/output")
     Manifest(Folder(spark, root)).publish(1, {"outputs": [f"{root}/output"], "tree": [f"{root}/leaves"]})
     return fresh

@@ -292,6 +292,22 @@ def test_values_are_equal_by_value():
     assert drift.canonical_text('"doc\\/\\u00e9"') == drift.canonical_text(' "doc/é"') and drift.canonical_text("x") != drift.canonical_text('"x"')
 
 
+def test_renamings_are_followed_to_the_end(spark):
+    """Ten renamings in a row; a name that comes back; a name that is used again; rows without a shape."""
+    rows, changes = [], []
+    for v in range(11):
+        back, used = ("a", "b", "a")[min(v, 2)], ("x", "y", "y")[min(v, 2)]
+        payload = {f"f{v}": 1, back: 2, used: 3, **({"x": 4} if v > 1 else {})}
+        rows.append((v, "r", '"k"', v, f"{v:02}", "f", "s", json.dumps(payload)))
+        changes += [("r", f"{v:02}", "f", "renamed", f"/f{v - 1}", f"/f{v}")] if v else []
+    rows.append((11, "r", '"k"', 11, None, None, "s", '{"f0":1}'))
+    changes += [("r", "01", "f", "renamed", "/a", "/b"), ("r", "02", "f", "renamed", "/b", "/a"), ("r", "01", "f", "renamed", "/x", "/y"), ("r", "02", "f", "added", "/x", "")]
+    table = spark.createDataFrame(changes, "resource_ref string, schema_version string, schema_fingerprint string, change string, field string, new_field string")
+    got = {(r.delivery_id, int(r.canonical)): r.current_field for r in drift.unified(spark.createDataFrame(rows, MUTATION), table).collect()}
+    assert {got[v, 1] for v in range(12)} == {"/f10"} and {got[v, 2] for v in range(11)} == {"/a"}
+    assert {got[v, 3] for v in range(11)} == {"/y"} and {got[v, 4] for v in range(2, 11)} == {"/x"} and len(got) == 11 * 3 + 9 + 1
+
+
 def test_unified_table_has_typed_branches(spark, checkpoint):
     rows = [(1, "r", '"a"', 1, "0", "f", "s", '{"n":1,"t":"x"}'), (2, "r", '"a"', 2, "1", "f", "s", '{"n":1.5,"u":"x","l":[1, 2]}'), (3, "r", None, 3, None, None, None, "broken")]
     df = spark.createDataFrame(rows, MUTATION)

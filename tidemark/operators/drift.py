@@ -21,6 +21,7 @@ import json
 from collections.abc import Iterable, Iterator
 from decimal import Decimal, InvalidOperation
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -292,21 +293,51 @@ def _branches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, _UNIFIED)], schema=_UNIFIED)
 
 
+def _names_in_time(group: pd.DataFrame) -> pd.DataFrame:
+    """(resource_ref, field, low, high, current) of one resource: what a name stands for in the shapes low to high - 1.
+
+    A renaming is followed by the next one of its new name in the order of shapes, so chains of any length end, and names
+    that come back or are used again are told apart.  Before its first renaming and behind each one, until it is added
+    again, a name means the renamed field.
+    """
+    events: dict[str, list[tuple[int, str | None]]] = {}
+    for place, change, field, new in zip(group["place"], group["change"], group["field"], group["new_field"]):
+        if change == "renamed":
+            events.setdefault(field, []).append((int(place), new))
+        events.setdefault(new if change == "renamed" else field, []).append((int(place), None))
+    for own in events.values():
+        own.sort(key=lambda e: (e[0], e[1] or ""))
+    ends: dict[tuple[str, int], str] = {}
+    for place, name, new in sorted(((p, n, t) for n, own in events.items() for p, t in own if t is not None), reverse=True):
+        then = next((p for p, t in events[new] if p > place and t is not None), None)
+        ends[name, place] = new if then is None else ends[new, then]
+    out = []
+    for name, own in events.items():
+        cuts = [-(1 << 31), *[p for p, _ in own], 1 << 31]
+        for k, (low, high) in enumerate(zip(cuts, cuts[1:])):
+            away = own[k - 1][0] if k and own[k - 1][1] is not None else next((p for p, t in own[k:] if t is not None), None)
+            if away is not None and low < high:
+                out.append((group["resource_ref"].iloc[0], name, low, high, ends[name, away]))
+    return pd.DataFrame(out, columns=["resource_ref", "field", "low", "high", "current"])
+
+
 def unified(rows: DataFrame, changes: DataFrame | None = None) -> DataFrame:
     """One consistent table of all payloads: a row per payload and field, with a typed branch and a canonical text.
 
-    With ``changes`` (a report), fields that were renamed stand under their newest name beside the one they had.
+    With ``changes`` (a report), fields that were renamed stand under their newest name beside the one they had.  Rows
+    without a shape count as of before the first shape.
     """
     ship(rows.sparkSession)
     values = rows.select("delivery_id", *SHAPE, "payload").mapInArrow(_branches, _ROW)
     if changes is None:
         return values.withColumn("current_field", F.col("field"))
-    step = changes.filter("change = 'renamed'").select("resource_ref", "field", F.col("new_field").alias("_new")).distinct()
-    newest = step
-    for _ in range(3):  # chains of renamings, doubled each time
-        then = newest.select("resource_ref", F.col("field").alias("_new"), F.col("_new").alias("_then"))
-        newest = newest.join(then, ["resource_ref", "_new"], "left").select("resource_ref", "field", F.coalesce("_then", "_new").alias("_new"))
-    newest = newest.groupBy("resource_ref", "field").agg(F.max("_new").alias("_new"))
-    return values.join(newest, ["resource_ref", "field"], "left").withColumn("current_field", F.coalesce("_new", "field")).drop("_new")
-
-
+    shapes = rows.groupBy(*SHAPE).agg(F.min(F.col("source_sequence").cast("bigint")).alias("first")).dropna(subset=list(SHAPE))
+    place = F.row_number().over(W.partitionBy("resource_ref").orderBy("first", "schema_version", "schema_fingerprint"))
+    shapes = shapes.select(*SHAPE, place.alias("place"))
+    dated = changes.filter("change in ('renamed', 'added')").join(shapes, list(SHAPE)).select("resource_ref", "place", "change", "field", "new_field")
+    names = dated.groupBy("resource_ref").applyInPandas(_names_in_time, "resource_ref string, field string, low bigint, high bigint, current string")
+    shapes, names = (F.broadcast(t) if t.limit(BROADCAST_SHAPES + 1).count() <= BROADCAST_SHAPES else t for t in (shapes, names))
+    placed = values.join(shapes, list(SHAPE), "left").withColumn("place", F.coalesce("place", F.lit(0))).alias("v")
+    at = (F.col("v.resource_ref") == F.col("n.resource_ref")) & (F.col("v.field") == F.col("n.field")) & (F.col("place") >= F.col("low")) & (F.col("place") < F.col("high"))
+    found = placed.join(names.alias("n"), at, "left")
+    return found.select(*[F.col(f"v.{c}") for c in values.columns], F.coalesce("n.current", "v.field").alias("current_field"))

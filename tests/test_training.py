@@ -113,22 +113,75 @@ def test_bulks_are_idempotent_empty_or_repeated(spark, tmp_path):
 RECORD = "event_id string, source_sequence bigint"
 
 
-def test_runs_skip_nothing_and_repeat_nothing(spark, tmp_path):
+def _names(df):
+    return sorted(r.event_id for r in df.collect())
+
+
+def test_runs_skip_nothing_and_repeat_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.incremental.BROADCAST_LEAVES", 3)
     runs = MerkleRuns(spark, str(tmp_path), "event_id", "source_sequence", leaf_bits=3)
     make = lambda rows: spark.createDataFrame(rows, RECORD)
-    names = lambda df: sorted(r.event_id for r in df.collect())
     first = [(f"e{i}", i * 5) for i in range(40)] + [(None, 1), ("", 2)]
-    assert names(runs.run(make(first))) == sorted(f"e{i}" for i in range(40))
-    assert names(runs.run(make(first + first))) == []
+    assert _names(runs.run(make(first))) == sorted(f"e{i}" for i in range(40))
+    assert _names(runs.run(make(first + first))) == []  # counted twice, and known
     more = first + [("late", 3), ("new", 900), ("e5", 1), ("nokey", None)]
-    assert names(runs.run(make(more), publish=False)) == ["late", "new", "nokey"]  # the run died before it published
-    assert names(runs.run(make(more))) == ["late", "new", "nokey"]
-    assert names(runs.run(make([]))) == []
-    assert names(runs.run(make(more))) == []
-    moved = more + [("e30", 2), ("e31", 2)]
-    assert names(runs.run(make(moved))) == []
-    assert names(runs.run(make(moved + [("beside", 2)]))) == ["beside"]  # the moved records are known in their new leaf
-    assert runs.outputs().count() == 44
+    assert _names(runs.run(make(more), publish=False)) == ["e5", "late", "new", "nokey"]  # the run died before it published
+    assert _names(runs.run(make(more))) == ["e5", "late", "new", "nokey"]
+    assert _names(runs.run(make([]), removals=False)) == [] and _names(runs.run(make(more))) == []
+    acknowledged = spark.createDataFrame([("done",)], "event_id string")
+    assert _names(runs.run(make(more + [("done", 4), ("open", 4)]), journal=acknowledged)) == ["open"]
+    runs.compact()
+    assert _names(runs.run(make(more + [("done", 4), ("open", 4), ("beside", 4)]))) == ["beside"]
+
+
+def test_changed_records_come_out_again(spark, tmp_path):
+    kind = "event_id string, source_sequence bigint, a string, b map<string,int>"
+    runs = MerkleRuns(spark, str(tmp_path), "event_id", "source_sequence", leaf_bits=2, content=["a", "b"])
+    make = lambda **rows: spark.createDataFrame([(k, i, *v) for i, (k, v) in enumerate(rows.items())], kind)
+    one = {"p": ("x", {"k": 1}), "q": (None, None), "r": ("", {}), "s": ("x", {"m": 1, "k": 2})}
+    assert _names(runs.run(make(**one))) == ["p", "q", "r", "s"]
+    two = {**one, "q": ("", None), "r": ("", None), "s": ("x", {"k": 2, "m": 1})}
+    assert _names(runs.run(make(**two))) == ["q", "r"]  # null and empty differ, the order of a map's entries does not
+    assert _names(runs.run(make(**one))) == ["q", "r"]  # turning back is a change
+    assert _names(runs.run(make())) == [] and _names(runs.removed()) == ["p", "q", "r", "s"]
+    assert _names(runs.run(make(p=one["p"]))) == ["p"]  # what had gone is new again
+
+
+def test_an_emptied_tree_yields_no_rows(spark, tmp_path, monkeypatch):
+    """The rows of a run come from its changed leaves: without differences in the tree there are none."""
+    monkeypatch.setattr(incremental, "descend", lambda leaves, differs, *a: leaves.select("leaf", *(["run"] if "run" in leaves.columns else [])).limit(0))
+    runs = MerkleRuns(spark, f"{tmp_path}/a", "event_id", "source_sequence")
+    assert _names(runs.run(spark.createDataFrame([("e", 1)], RECORD))) == []
+    found = replay(
+        spark.createDataFrame([("e", DAY, 1)], "event_id string, received_at timestamp, source_sequence bigint"), spark.createDataFrame([(1, DAY, "succeeded")], "run_id int, snapshot_at timestamp, run_state string"),
+        spark.createDataFrame([], "run_id int, event_id string, outcome string"), f"{tmp_path}/b",
+    )
+    assert found.collect() == []
+
+
+def test_files_seen_before_are_not_read(spark, tmp_path):
+    write = lambda name, rows: spark.createDataFrame(rows, RECORD).coalesce(1).write.parquet(f"{tmp_path}/log/{name}")
+    runs = MerkleRuns(spark, f"{tmp_path}/store", "event_id", "source_sequence", leaf_bits=3)
+    run = lambda **more: _names(runs.run_files([f"{tmp_path}/log"], **more))
+    write("a", [(f"e{i}", i) for i in range(100)])
+    write("b", [])
+    assert len(run()) == 100
+    write("c", [("e7", 7), ("n1", 50), ("n2", 1000), (None, 3)])
+    assert run(publish=False) == run() == ["n1", "n2"] and len(runs.files_read) == 1 and "/c/" in runs.files_read[0]
+    assert run() == [] and runs.files_read == []
+    Folder(spark, f"{tmp_path}/log/c").remove()
+    write("d", [("n1", 50), ("n3", 1000)])
+    assert run() == ["n3"] and _names(runs.removed()) == ["n2"] and len(runs.files_read) == 2  # of the old files only the one in its leaves
+    Folder(spark, f"{tmp_path}/log/a").remove()
+    assert run() == [] and len(_names(runs.removed())) == 101
+
+
+def test_ranges_of_leaves(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "SCAN_RANGES", 3)
+    ranges = lambda leaves: incremental._ranges(spark.createDataFrame([(x,) for x in leaves], "leaf bigint"))
+    assert ranges([]) == [] and ranges([5]) == [(5, 5)] and ranges([1, 2, 3, 9]) == [(1, 3), (9, 9)]
+    assert ranges([1, 4, 100, 1 << 20]) == [(1, 4), (100, 100), (1 << 20, 1 << 20)]
+    assert ranges([-(1 << 20), -3, 4, 1 << 40]) == [(-(1 << 20), -(1 << 20)), (-3, 4), (1 << 40, 1 << 40)]
 
 
 def _brute_replay(deliveries, runs, journal):

@@ -27,7 +27,7 @@ def _orderable(kind: T.DataType) -> bool:
     return not isinstance(kind, T.StructType) or all(_orderable(f.dataType) for f in kind)
 
 
-def _comparable(column: Column, kind: T.DataType) -> Column:
+def comparable(column: Column, kind: T.DataType) -> Column:
     """Maps have no equality of their own: they are compared as sorted entries; variants as canonical text."""
     if isinstance(kind, T.MapType):
         return F.array_sort(F.map_entries(column))
@@ -45,7 +45,7 @@ def compare_copies(
     def side(df: DataFrame, tag: int) -> DataFrame:
         own = set(df.columns)
         values = [
-            (_comparable(df[c], kinds[c]) if c in own else F.lit(None).cast(kinds[c])).alias(f"f{i}") for i, c in enumerate(fields)
+            (comparable(df[c], kinds[c]) if c in own else F.lit(None).cast(kinds[c])).alias(f"f{i}") for i, c in enumerate(fields)
         ]
         return df.select(df[key].alias("_key"), F.lit(tag).alias("_side"), F.struct(F.lit(1).alias("_there"), *values).alias("_row"))
 

@@ -39,15 +39,24 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return replay(table(spark, d, "mutations"), table(spark, d, "run_log"), table(spark, d, "run_journal"), scratch(spark, "runs"))
 
 
-def p2_increment(spark: SparkSession, d: str) -> DataFrame:
+def _two_runs(spark: SparkSession, d: str, content: list[str]) -> DataFrame:
     """The production store: one run over the first half of the batches, then what a run over all has still to process."""
     mutations = table(spark, d, "mutations")
     low, high = mutations.agg(F.min("batch_id"), F.max("batch_id")).first()
-    runs = MerkleRuns(spark, scratch(spark, "merkle"), "event_id", "source_sequence")
+    runs = MerkleRuns(spark, scratch(spark, "merkle"), "event_id", "source_sequence", content=content)
     runs.run(mutations.filter(F.col("batch_id") <= ((low or 0) + (high or 0)) // 2))
     return runs.run(mutations)
 
 
+def p2_increment(spark: SparkSession, d: str) -> DataFrame:
+    return _two_runs(spark, d, [])
+
+
+def p2_changed(spark: SparkSession, d: str) -> DataFrame:
+    """The same where an event that came again with another payload or version is changed."""
+    return _two_runs(spark, d, ["payload", "source_version"])
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     root = scratch(spark, "drift")
     return drift.report(table(spark, d, "mutations"), lambda df, name: write_once(df, f"{root}/{name}"))
@@ -85,7 +94,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return compare_copies(table(spark, d, "docs_primary"), table(spark, d, "docs_replica"), "m_document_id", ignore=("m_projected_at",))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p2_found, p2_increment, p3_found, p3_unified, p4_found, p4_payloads, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p2_found, p2_increment, p2_changed, p3_found, p3_unified, p4_found, p4_payloads, p5_found)}
 
 _VALID = "event_id is not null and event_id <> ''"
 _P5 = [
@@ -140,4 +149,5 @@ SQL = {
 }
 
 SQL["p2_increment"] = f"select event_id from mutations where {_VALID} group by 1 having min(batch_id) > (select (min(batch_id) + max(batch_id)) // 2 from mutations)"
+SQL["p2_changed"] = f"select distinct event_id from (select event_id, bool_or(batch_id <= (select (min(batch_id) + max(batch_id)) // 2 from mutations)) old from mutations where {_VALID} group by event_id, source_sequence, payload, source_version) where not old"
 SQL["p4_payloads"] = f"select event_id, resource_ref, source_sequence, payload from (select *, row_number() over (partition by event_id order by delivery_id) k from mutations where event_id in ({SQL['p4_found']})) where k = 1"

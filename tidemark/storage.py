@@ -1,14 +1,15 @@
 """Shared storage: versioned tables that are published by one rename.
 
 Everything an operator keeps lies in the folder the session names in ``spark.checkpoint.dir``, which all executors
-share.  Data files are written under a fresh name first and become visible only when a manifest that lists them is
-renamed into place, so a run that dies half way leaves nothing a reader can see.
+share.  Data files are written under a fresh name first and become visible only when a manifest that lists them gets its
+name, in one step that fails if another writer was faster; a run that dies half way leaves nothing a reader can see.
 """
 
 from __future__ import annotations
 
 import atexit
 import json
+import os
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -84,7 +85,7 @@ class Folder:
             stream.close()
 
     def write_text(self, name: str, text: str, replace: bool = False) -> None:
-        """Write under a temporary name, then rename: a reader sees the whole text or none."""
+        """Write under a temporary name, then give it its own: a reader sees the whole text or none."""
         temporary = f"_tmp-{uuid.uuid4().hex}"
         out = self._fs.create(self._jpath(temporary), False)
         out.write(bytearray(text.encode("utf-8")))
@@ -98,9 +99,46 @@ class Folder:
             )
             qualified = lambda n: self._fs.makeQualified(self._jpath(n))
             context.rename(qualified(temporary), qualified(name), kinds)
-        elif self.exists(name) or not self._fs.rename(self._jpath(temporary), self._jpath(name)):
+            return
+        try:
+            self._link(temporary, name)
+        except FileExistsError:
+            raise PublishConflict(name) from None
+        finally:
             self._fs.delete(self._jpath(temporary), False)
-            raise PublishConflict(name)
+
+    def _link(self, temporary: str, name: str) -> None:
+        """Give a finished file its name in one step that fails if the name is taken, so that of two writers one wins.
+
+        A local or mounted disk makes a hard link; other file systems rename without overwriting, which HDFS decides in
+        its name node.  (An object store needs a committer or table format of its own for that.)
+        """
+        if self._fs.getUri().getScheme() == "file":
+            local = lambda n: self._fs.makeQualified(self._jpath(n)).toUri().getPath()
+            os.link(local(temporary), local(name))
+            return
+        from py4j.protocol import Py4JJavaError
+
+        options = self._jvm.org.apache.hadoop.fs.Options.Rename
+        kinds = self.spark.sparkContext._gateway.new_array(options, 0)
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            context.rename(self._fs.makeQualified(self._jpath(temporary)), self._fs.makeQualified(self._jpath(name)), kinds)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception):
+                raise FileExistsError(name) from None
+            raise
+
+    def files(self) -> list[tuple[str, int, int]]:
+        """(path, length, time of modification) of the data files below the folder, or of the path itself."""
+        if not self.exists():
+            return []
+        found, out = self._fs.listFiles(self._jpath(""), True), []
+        while found.hasNext():
+            f = found.next()
+            if not f.getPath().getName().startswith(("_", ".")):
+                out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return sorted(out)
 
 
 class Manifest:

@@ -44,7 +44,7 @@ def _winners(rows):
 
 
 def _store(spark, path, schema):
-    return ExactlyOnceStore(spark, str(path), schema, "event_id", "projected_at", "delivery_id", ["extra", "value", "_best", "Part", "b"], index_buckets=4)
+    return ExactlyOnceStore(spark, str(path), schema, "event_id", "projected_at", "delivery_id", ["extra", "value", "_best", "Part", "b"], index_rows=16)
 
 
 @pytest.mark.parametrize("bulks", [1, 3])
@@ -94,12 +94,42 @@ def test_a_compacted_store_goes_on(spark, tmp_path):
     before = sorted(r.delivery_id for r in store.surplus().collect())
     store.compact(tokens=1)
     state = store.manifest.latest()[1]
-    assert len(state["index"]) == len(state["surplus"]) == 1 and state["tokens"] == ["bulk-1"]
+    assert len(state["index"]) == 1 and all(len(p) == 1 for p in state["surplus"].values()) and state["tokens"] == ["bulk-1"]
+    version = store.manifest.latest()[0]
+    assert store.apply(df, "bulk-0") == store.apply(df, "bulk-1") == version  # tokens that are listed no more are still known
     assert sorted(r.delivery_id for r in store.surplus().collect()) == before
     store.apply(df.filter(F.col("delivery_id") % 3 == 2))
     assert {r.delivery_id for r in store.winners().collect()} == {r[0] for r in _winners(rows)}
 
 
+def test_losers_come_out_once(spark, tmp_path):
+    """Losers delivered again, sequences shared between identifiers, and null sequences."""
+    make = lambda rows: spark.createDataFrame([(q, e, DAY + timedelta(days=t), None, None, "", None, None) for q, e, t in rows], DELIVERY)
+    store = _store(spark, tmp_path, make([(1, "a", 0)]).schema)
+    store.apply(make([(1, "a", 0), (2, "a", 0), (2, "b", 0), (None, "c", 0), (5, "c", 0)]))
+    lost = lambda: sorted((r.event_id, r.delivery_id) for r in store.surplus().collect())
+    assert lost() == [("a", 2), ("c", 5)]
+    store.apply(make([(2, "a", 0), (None, "c", 0), (5, "c", 0), (5, "c", 0), (1, "a", 0)]))  # nothing but what is known
+    assert lost() == [("a", 2), ("c", 5)]
+    store.apply(make([(2, "a", 1), (9, "b", -1), (2, "b", 0)]))  # the same sequence at another time is another delivery; b is displaced
+    assert lost() == [("a", 2), ("a", 2), ("b", 2), ("c", 5)]
+    assert sorted((r.event_id, r.delivery_id) for r in store.winners().collect()) == [("a", 1), ("b", 9), ("c", None)]
+
+
+def test_partitions_do_not_depend_on_the_zone(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", DAY, None, None, "", None, None)], DELIVERY)
+    store = _store(spark, tmp_path, df.schema)
+    store.apply(df)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+        store.compact()
+        store.apply(df.withColumn("delivery_id", F.lit(0).cast("bigint")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert list(store.manifest.latest()[1]["parts"]) == ["2026-03-01"]
+    assert [r.delivery_id for r in store.winners().collect()] == [0] and [r.delivery_id for r in store.surplus().collect()] == [1]
+
+
 def test_bulks_are_idempotent_empty_or_repeated(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", DAY, None, "x" * 100_000, "", None, None), (1, "a", DAY, None, "x" * 100_000, "", None, None)], DELIVERY)
     store = _store(spark, tmp_path, df.schema)

@@ -15,6 +15,12 @@ from tidemark.sources.tables import table
 from tidemark.storage import scratch, write_once
 
 
+#: What a message carries besides the three columns that decide.
+_MESSAGE = [
+    "batch_id", "resource_ref", "record_id", "source_sequence", "source_version", "schema_version", "schema_fingerprint", "scope_fingerprint", "payload",
+]
+
+
 def _store(spark: SparkSession, d: str, columns: list[str]) -> ExactlyOnceStore:
     """The deliveries taken in as a history and a bulk that comes after it."""
     mutations = table(spark, d, "mutations")
@@ -31,8 +37,19 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_winners(spark: SparkSession, d: str) -> DataFrame:
-    """The one delivery kept of each event, with its record and sequence."""
-    return _store(spark, d, ["resource_ref", "source_sequence"]).winners().select("delivery_id", "event_id", "resource_ref", "source_sequence")
+    """The one delivery kept of each event, the whole message with its payload."""
+    return _store(spark, d, _MESSAGE).winners().select("delivery_id", "event_id", *_MESSAGE)
+
+
+def p1_two_stores(spark: SparkSession, d: str) -> DataFrame:
+    """Deliveries that were lost, delivered again: the surplus of a store that took a part of its bulks in twice."""
+    mutations = table(spark, d, "mutations")
+    store = ExactlyOnceStore(spark, scratch(spark, "once"), mutations.schema, "event_id", "projected_at", "delivery_id", ["batch_id"])
+    low, high = mutations.agg(F.min("batch_id"), F.max("batch_id")).first()
+    third = ((high or 0) - (low or 0)) // 3 + (low or 0)
+    store.apply(mutations.filter(F.col("batch_id") <= third + third - (low or 0)))
+    store.apply(mutations.filter(F.col("batch_id") > third))
+    return store.surplus().select("event_id", "delivery_id", "batch_id")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +111,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return compare_copies(table(spark, d, "docs_primary"), table(spark, d, "docs_replica"), "m_document_id", ignore=("m_projected_at",))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p2_found, p2_increment, p2_changed, p3_found, p3_unified, p4_found, p4_payloads, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p1_two_stores, p2_found, p2_increment, p2_changed, p3_found, p3_unified, p4_found, p4_payloads, p5_found)}
 
 _VALID = "event_id is not null and event_id <> ''"
 _P5 = [
@@ -104,7 +121,7 @@ _P5 = [
 
 SQL = {
     "p1_found": f"select delivery_id from (select delivery_id, row_number() over (partition by event_id order by projected_at nulls last, delivery_id) k from mutations where {_VALID}) where k > 1",
-    "p1_winners": f"select delivery_id, event_id, resource_ref, source_sequence from (select *, row_number() over (partition by event_id order by projected_at nulls last, delivery_id) k from mutations where {_VALID}) where k = 1",
+    "p1_winners": f"select delivery_id, event_id, {', '.join(_MESSAGE)} from (select *, row_number() over (partition by event_id order by projected_at nulls last, delivery_id) k from mutations where {_VALID}) where k = 1",
     "p2_found": f"""with e as (select event_id, min(received_at) seen from mutations where {_VALID} group by 1),
         f as (select e.event_id, min(run_id) run_id from e join run_log r on r.run_state = 'succeeded' and r.snapshot_at >= e.seen group by 1),
         j as (select event_id, min(run_id) done from run_journal where outcome <> 'retryable' group by 1)
@@ -149,5 +166,6 @@ SQL = {
 }
 
 SQL["p2_increment"] = f"select event_id from mutations where {_VALID} group by 1 having min(batch_id) > (select (min(batch_id) + max(batch_id)) // 2 from mutations)"
+SQL["p1_two_stores"] = f"select event_id, delivery_id, batch_id from (select event_id, delivery_id, batch_id, row_number() over (partition by event_id order by projected_at nulls last, delivery_id) k from mutations where {_VALID}) where k > 1"
 SQL["p2_changed"] = f"select distinct event_id from (select event_id, bool_or(batch_id <= (select (min(batch_id) + max(batch_id)) // 2 from mutations)) old from mutations where {_VALID} group by event_id, source_sequence, payload, source_version) where not old"
 SQL["p4_payloads"] = f"select event_id, resource_ref, source_sequence, payload from (select *, row_number() over (partition by event_id order by delivery_id) k from mutations where event_id in ({SQL['p4_found']})) where k = 1"

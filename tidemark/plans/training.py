@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.jsonvalue import canonical_of, is_json_null, object_of, with_values
-from tidemark.operators.changefeed import change_images, current_state, first_deliveries
+from tidemark.operators.changefeed import FeedStore, change_images, current_state, first_deliveries
 from tidemark.operators import drift
 from tidemark.operators.dedup import ExactlyOnceStore
 from tidemark.operators.diff import compare_copies
@@ -84,21 +84,36 @@ def p3_unified(spark: SparkSession, d: str) -> DataFrame:
     return drift.unified(table(spark, d, "mutations"), p3_found(spark, d))
 
 
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
+def _changes(spark: SparkSession, d: str) -> DataFrame:
+    """(event_id, delivery_id, source_sequence, kind, record) of each delivery; the record is a 128-bit digest of its key."""
     payload, gone = F.col("payload"), is_json_null(F.col("payload"))
     rows = table(spark, d, "mutations").filter(F.col("event_id") != "")
     rows = with_values(rows, {"body": F.when(~gone, payload), "name": F.col("record_id")}).select(
-        "event_id", "delivery_id", "source_sequence", "resource_ref", "scope_fingerprint",
+        "event_id", "delivery_id", "batch_id", "source_sequence", "resource_ref", "scope_fingerprint",
         canonical_of(F.col("name"), F.col("record_id")).alias("record_id"),
         F.when(gone, "delete").when(object_of(F.col("body"), payload), "upsert").alias("kind"),
     )
-    rows = rows.select("event_id", "delivery_id", "source_sequence", "kind", F.unhex(F.md5(F.to_json(
+    return rows.select("event_id", "delivery_id", "batch_id", "source_sequence", "kind", F.unhex(F.md5(F.to_json(
         F.struct("resource_ref", "scope_fingerprint", "record_id"), {"ignoreNullFields": "false"}))).alias("record"))
-    events = first_deliveries(rows, "event_id", "delivery_id", ["source_sequence", "kind", "record"]).filter("kind is not null")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    events = first_deliveries(_changes(spark, d), "event_id", "delivery_id", ["source_sequence", "kind", "record"]).filter("kind is not null")
     changes = change_images(events, [F.hex("record")], "source_sequence", F.col("kind") == "delete")
     return current_state(changes, "record", "sequence", "image").select(F.col("image").alias("event_id"))
 
 
+def p4_two_bulks(spark: SparkSession, d: str) -> DataFrame:
+    """The same state, the feed taken in by two bulks of a store, with late and repeated changes in the second."""
+    rows = _changes(spark, d).select(F.col("event_id").alias("event"), F.col("delivery_id").alias("at"), "batch_id", "record", F.col("source_sequence").alias("sequence"), "kind")
+    low, high = table(spark, d, "mutations").agg(F.min("batch_id"), F.max("batch_id")).first()
+    cut = F.coalesce(F.col("batch_id") <= F.lit(((low or 0) + (high or 0)) // 2), F.lit(False))
+    store = FeedStore(spark, scratch(spark, "feed"))
+    store.apply(rows.filter(cut).drop("batch_id"), "history")
+    store.apply(rows.filter(~cut).drop("batch_id"), "incoming")
+    return store.current().select(F.col("event").alias("event_id"))
+
+
 def p4_payloads(spark: SparkSession, d: str) -> DataFrame:
     """The current payload of each record that exists: that of the first delivery of the event that gives its state."""
     rows = table(spark, d, "mutations").select("event_id", "delivery_id", "resource_ref", "source_sequence", "payload")
@@ -111,7 +126,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return compare_copies(table(spark, d, "docs_primary"), table(spark, d, "docs_replica"), "m_document_id", ignore=("m_projected_at",))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p1_two_stores, p2_found, p2_increment, p2_changed, p3_found, p3_unified, p4_found, p4_payloads, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_winners, p1_two_stores, p2_found, p2_increment, p2_changed, p3_found, p3_unified, p4_found, p4_two_bulks, p4_payloads, p5_found)}
 
 _VALID = "event_id is not null and event_id <> ''"
 _P5 = [
@@ -168,4 +183,5 @@ SQL = {
 SQL["p2_increment"] = f"select event_id from mutations where {_VALID} group by 1 having min(batch_id) > (select (min(batch_id) + max(batch_id)) // 2 from mutations)"
 SQL["p1_two_stores"] = f"select event_id, delivery_id, batch_id from (select event_id, delivery_id, batch_id, row_number() over (partition by event_id order by projected_at nulls last, delivery_id) k from mutations where {_VALID}) where k > 1"
 SQL["p2_changed"] = f"select distinct event_id from (select event_id, bool_or(batch_id <= (select (min(batch_id) + max(batch_id)) // 2 from mutations)) old from mutations where {_VALID} group by event_id, source_sequence, payload, source_version) where not old"
+SQL["p4_two_bulks"] = SQL["p4_found"]
 SQL["p4_payloads"] = f"select event_id, resource_ref, source_sequence, payload from (select *, row_number() over (partition by event_id order by delivery_id) k from mutations where event_id in ({SQL['p4_found']})) where k = 1"

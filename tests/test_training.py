@@ -3,6 +3,7 @@
 import json
 import random
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -405,6 +406,28 @@ def test_bad_payloads_and_nulls(spark, checkpoint):
     assert _drift(spark, lambda df, name: checkpoint(df, f"none-{name}"), [[]] + [[None]]) == []
 
 
+def test_payloads_beyond_the_bounds_of_a_parser(spark, checkpoint):
+    """Numbers of more digits than Python converts, values nested deeper than its stack, and wide drifts."""
+    nested = "[" * 20_000 + "1" + "]" * 20_000
+    old = [f'{{"id":"{k}","long":{"7" * (5_000 + k)},"deep":{nested}}}' for k in range(3)]
+    new = [f'{{"id":"{k}","wide":{"7" * (5_000 + k)}.0,"down":{nested}}}' for k in range(3)]
+    assert _drift(spark, checkpoint, [old, new]) == [("1", "renamed", "/deep", "/down"), ("1", "renamed", "/long", "/wide")]
+    assert drift.tag(drift.parse_object(old[0])["long"]) == "integer" and drift.parse_object("[" * 100_000) is None
+    old = [{f"o{i}": 40 * k + i for i in range(40)} | {"flag": True, "half": k} for k in range(12)]
+    new = [{f"n{i}": 40 * k + i for i in range(40)} | {"sign": k > 0, "less": k if k < 6 else -1} for k in range(12)]
+    wide = _drift(spark, lambda df, name: checkpoint(df, f"wide-{name}"), [old, new])
+    assert wide == sorted([("1", "renamed", f"/o{i}", f"/n{i}") for i in range(40)] + [("1", "renamed", "/flag", "/sign"), ("1", "added", "/less", ""), ("1", "removed", "/half", "")])
+
+
+def test_branches_of_numbers():
+    D, number = Decimal, lambda text: drift._branches_of_number(drift.Point(text))
+    assert drift._branches_of_number(12345678901234567890123) == (D("12345678901234567890123"), None, 12345678901234567890123.0)
+    assert number("0.1") == (None, D("0.1"), 0.1) and number("1500e-1") == (D(150), D(150), 150.0) and number("-0.0")[:2] == (D(0), D(0))
+    assert number("1e400") == (None, None, None) and number("9.9999999999999999999999") == (None, None, 10.0) and number("1e-18")[1] == D("1e-18")
+    assert drift.canonical(drift.Point("12345678901234567890123456789012.5")) != drift.canonical(drift.Point("12345678901234567890123456789012.4"))
+    assert [drift.canonical(drift.Point(x)) for x in ("1e2", "0.00120", "1e30", "-5e-30", "00.0")] == ["100", "0.0012", "1E30", "-5E-30", "0"]
+
+
 def test_values_are_equal_by_value():
     assert drift.canonical(drift.Point("1.50")) == drift.canonical(drift.Point("15e-1")) and drift.canonical(drift.Point("1.0")) == drift.canonical(1)
     assert drift.canonical(True) != drift.canonical(1) and drift.canonical("1") != drift.canonical(1)
@@ -432,7 +455,7 @@ def test_unified_table_has_typed_branches(spark, checkpoint):
     df = spark.createDataFrame(rows, MUTATION)
     changes = drift.report(df, checkpoint)
     got = {(r.delivery_id, r.current_field): (r.type, r.as_integer, r.as_decimal, r.as_string, r.as_array, r.canonical) for r in drift.unified(df, changes).collect()}
-    assert got[1, "/n"][:3] == ("integer", 1, 1.0) and got[2, "/n"][:3] == ("decimal", None, 1.5)
+    assert got[1, "/n"][:3] == ("integer", 1, 1) and got[2, "/n"][:3] == ("decimal", None, Decimal("1.5"))
     assert got[1, "/u"][3] == got[2, "/u"][3] == "x" and got[2, "/l"][4] == "[1,2]"
 
 
@@ -457,6 +480,13 @@ def test_differences_field_by_field(spark):
     assert _differences(spark, [], []) == [] and _differences(spark, left[:1], []) == [("same", "left", "")]
 
 
+def test_a_copy_that_contradicts_itself(spark):
+    left = [("a", 1, None, None, 1), ("a", 2, None, None, 1), ("b", 1, None, None, 1), ("b", 1, None, None, 2), ("c", None, None, "", 1), ("c", None, None, None, 1)]
+    right = [("a", 2, None, None, 1), ("b", 1, None, None, 1)]
+    assert _differences(spark, left, right) == [("a", "ambiguous_left", ""), ("c", "ambiguous_left", ""), ("c", "left", "")]
+    assert _differences(spark, right, left) == [("a", "ambiguous_right", ""), ("c", "ambiguous_right", ""), ("c", "right", "")]
+
+
 def test_columns_of_one_copy_and_maps(spark):
     left = spark.createDataFrame([("a", {"x": 1, "y": 2}, 1)], "k string, m map<string,int>, only int")
     right = spark.createDataFrame([("a", {"y": 2, "x": 1})], "k string, m map<string,int>")

@@ -18,8 +18,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import json.scanner
+import math
+import re
+import sys
 from collections.abc import Iterable, Iterator
-from decimal import Decimal, InvalidOperation
+from decimal import MAX_EMAX, MAX_PREC, MIN_EMIN, Context, Decimal, InvalidOperation
 
 import pandas as pd
 import pyarrow as pa
@@ -42,20 +46,54 @@ class Point(str):
     """A number written with a point or an exponent, kept as text."""
 
 
+class Whole(str):
+    """A whole number with more digits than Python turns into a number, kept as text."""
+
+
 def _reject(text: str):
     raise ValueError(text)
 
 
-_decode = json.JSONDecoder(parse_float=Point, parse_constant=_reject, strict=True).decode
+_decode_plain = json.JSONDecoder(parse_float=Point, parse_constant=_reject, strict=True).decode
+_MANY_DIGITS = re.compile(r"[0-9]{4300}")
+
+
+class _Deep(json.JSONDecoder):
+    """The same without bounds: every number stays text, and nesting takes memory but no stack of the interpreter."""
+
+    def __init__(self) -> None:
+        super().__init__(parse_float=Point, parse_int=Whole, parse_constant=_reject, strict=True)
+        self.scan_once = json.scanner.py_make_scanner(self)
+
+
+def _deeply(call, *args):
+    """Call a function that recurses as deep as its argument is nested (Python frames lie on the heap)."""
+    before = sys.getrecursionlimit()
+    sys.setrecursionlimit(1 << 30)
+    try:
+        return call(*args)
+    finally:
+        sys.setrecursionlimit(before)
+
+
+def _decode(text: str):
+    try:
+        return _decode_plain(text)
+    except RecursionError:
+        return _deeply(_Deep().decode, text)
+    except ValueError:
+        if _MANY_DIGITS.search(text):
+            return _deeply(_Deep().decode, text)
+        raise
 
 
 def parse_object(text: str | None) -> dict | None:
-    """The object of a payload, or None."""
+    """The object of a payload, or None. Numbers of any length and values nested to any depth are read."""
     if not text:
         return None
     try:
         value = _decode(text)
-    except (ValueError, RecursionError):
+    except ValueError:
         return None
     return value if isinstance(value, dict) else None
 
@@ -80,29 +118,52 @@ def tag(value: object) -> str | None:
         return "boolean"
     if isinstance(value, Point):
         return "decimal"
-    if isinstance(value, int):
+    if isinstance(value, int | Whole):
         return "integer"
     return "string" if isinstance(value, str) else "array"
 
 
 def _number(text: str) -> str:
+    """One spelling of a number, whatever its length: digits without zeros at the ends, and an exponent if it is far off."""
+    if text[-1] != "0" and text.isascii() and text.isdigit():
+        return text.lstrip("0")
     try:
-        return str(Decimal(text).normalize() + 0)
+        sign, digits, exponent = Decimal(text).as_tuple()
     except InvalidOperation:
         return text
+    figures = "".join(map(str, digits)).lstrip("0")
+    kept = figures.rstrip("0")
+    if not kept:
+        return "0"
+    exponent += len(figures) - len(kept)
+    if 0 <= exponent <= 20:
+        kept += "0" * exponent
+    elif -20 <= exponent < 0:
+        kept = kept.zfill(1 - exponent)
+        kept = f"{kept[:exponent]}.{kept[exponent:]}"
+    else:
+        kept += f"E{exponent}"
+    return "-" + kept if sign else kept
 
 
 def canonical(value: object) -> str:
     """One text for each JSON value."""
+    try:
+        return _canonical(value)
+    except RecursionError:
+        return _deeply(_canonical, value)
+
+
+def _canonical(value: object) -> str:
     if isinstance(value, bool) or value is None:
         return json.dumps(value)
-    if isinstance(value, Point | int):
+    if isinstance(value, Point | Whole | int):
         return _number(str(value))
     if isinstance(value, str):
         return json.dumps(value)
     if isinstance(value, list):
-        return "[" + ",".join(map(canonical, value)) + "]"
-    return "{" + ",".join(f"{json.dumps(k)}:{canonical(v)}" for k, v in sorted(value.items())) + "}"
+        return "[" + ",".join([_canonical(v) for v in value]) + "]"
+    return "{" + ",".join([f"{json.dumps(k)}:{_canonical(v)}" for k, v in sorted(value.items())]) + "}"
 
 
 def canonical_text(text: str | None) -> str | None:
@@ -113,7 +174,7 @@ def canonical_text(text: str | None) -> str | None:
         return text  # the common case needs no parser
     try:
         return canonical(_decode(text))
-    except (ValueError, RecursionError):
+    except ValueError:
         return "\u0001" + text
 
 
@@ -216,7 +277,21 @@ def _one_to_one(pdf):
     return pd.DataFrame(kept, columns=["pair", "old_field", "new_field"])
 
 
-def renamings(rows: DataFrame, gone: DataFrame) -> DataFrame:
+def _likely(sides: DataFrame) -> DataFrame:
+    """(pair, cells): the (i, j) that could be renamings, from the fields with equal digests in a record.
+
+    Only equal fields are paired.  How many records have both fields is bounded from below by the numbers that have each,
+    which leaves few pairs to be counted out.
+    """
+    equal = sides.select("pair", "first", F.posexplode("last").alias("i", "a")).filter("a is not null")
+    equal = equal.select("pair", "i", F.explode(F.expr("filter(transform(first, (b, j) -> if(b = a, j, null)), j -> j is not null)")).alias("j"))
+    equal = equal.groupBy("pair", "i", "j").agg(F.count(F.lit(1)).alias("equal"))
+    having = lambda side, name: sides.select("pair", F.posexplode(side).alias(name, "x")).filter("x is not null").groupBy("pair", name).agg(F.count(F.lit(1)).alias(f"n_{name}"))
+    known = equal.join(having("last", "i"), ["pair", "i"]).join(having("first", "j"), ["pair", "j"]).join(sides.groupBy("pair").agg(F.count(F.lit(1)).alias("n")), "pair")
+    return known.filter(F.col("equal") * 2 > F.col("n_i") + F.col("n_j") - F.col("n")).groupBy("pair").agg(F.collect_list(F.struct("i", "j")).alias("cells"))
+
+
+def renamings(rows: DataFrame, gone: DataFrame, checkpoint) -> DataFrame:
     """(pair, old_field, new_field).
 
     ``gone`` has one row per pair of neighbouring shapes with fields that went and fields that came: ``pair``,
@@ -236,7 +311,11 @@ def renamings(rows: DataFrame, gone: DataFrame) -> DataFrame:
     sides = values.groupBy("pair", "record").agg(
         F.max_by("vals", F.when(F.col("old"), at)).alias("last"), F.min_by("vals", F.when(~F.col("old"), at)).alias("first")
     ).filter("last is not null and first is not null")
-    both = sides.select("pair", F.posexplode("last").alias("i", "a"), "first").filter("a is not null").select("pair", "i", "a", F.posexplode("first").alias("j", "b")).filter("b is not null")
+    sides = checkpoint(sides, "sides")
+    cells = checkpoint(_likely(sides), "cells")
+    cells = F.broadcast(cells) if cells.limit(BROADCAST_SHAPES + 1).count() <= BROADCAST_SHAPES else cells
+    both = sides.join(cells, "pair").select("pair", "last", "first", F.explode("cells").alias("c"))
+    both = both.select("pair", "c.*", F.col("last")[F.col("c.i")].alias("a"), F.col("first")[F.col("c.j")].alias("b")).filter("a is not null and b is not null")
     counted = both.groupBy("pair", "i", "j").agg(F.count(F.lit(1)).alias("both"), F.count(F.when(F.col("a") == F.col("b"), 1)).alias("equal")).filter("equal * 2 > both")
     named = counted.join(gone, "pair").select("pair", F.col("old_fields")[F.col("i")].alias("old_field"), F.col("new_fields")[F.col("j")].alias("new_field"), "both", "equal")
     return named.groupBy("pair").applyInPandas(_one_to_one, "pair bigint, old_field string, new_field string")
@@ -260,7 +339,7 @@ def report(rows: DataFrame, checkpoint, share: float = 0.1) -> DataFrame:
         F.array_sort(F.collect_list(F.when(F.col("change") == "removed", F.col("field")))).alias("old_fields"),
         F.array_sort(F.collect_list(F.when(F.col("change") == "added", F.col("field")))).alias("new_fields"),
     ).filter("size(old_fields) > 0 and size(new_fields) > 0")
-    renamed = checkpoint(renamings(rows, gone), "renamed")
+    renamed = checkpoint(renamings(rows, gone, checkpoint), "renamed")
     ends = renamed.select("pair", F.explode(F.array(
         F.struct(F.lit("removed").alias("change"), F.col("old_field").alias("field")), F.struct(F.lit("added").alias("change"), F.col("new_field").alias("field")),
     )).alias("x")).select("pair", "x.*")
@@ -269,13 +348,32 @@ def report(rows: DataFrame, checkpoint, share: float = 0.1) -> DataFrame:
     return plain.unionByName(moved)
 
 
-_ROW = "delivery_id bigint, resource_ref string, schema_version string, schema_fingerprint string, field string, type string, as_string string, as_integer decimal(38,0), as_decimal double, as_boolean boolean, as_array string, canonical string"
+_ROW = "delivery_id bigint, resource_ref string, schema_version string, schema_fingerprint string, field string, type string, as_string string, as_integer decimal(38,0), as_decimal decimal(38,18), as_double double, as_boolean boolean, as_array string, canonical string"
 _UNIFIED = pa.schema([
     ("delivery_id", pa.int64()), *[(c, pa.string()) for c in (*SHAPE, "field", "type", "as_string")], ("as_integer", pa.decimal128(38, 0)),
-    ("as_decimal", pa.float64()), ("as_boolean", pa.bool_()), ("as_array", pa.string()), ("canonical", pa.string()),
+    ("as_decimal", pa.decimal128(38, 18)), ("as_double", pa.float64()), ("as_boolean", pa.bool_()), ("as_array", pa.string()), ("canonical", pa.string()),
 ])
 
 
+_FIXED = Context(prec=MAX_PREC, Emax=MAX_EMAX, Emin=MIN_EMIN)
+
+
+def _branches_of_number(x: object) -> tuple[Decimal | None, Decimal | None, float | None]:
+    """(whole, exact with up to 20 digits before the point and 18 behind it, nearest double), null where they do not fit."""
+    try:
+        value = Decimal(str(x))
+    except InvalidOperation:
+        return None, None, None
+    near = float(value)
+    if value.is_zero():
+        return Decimal(0), Decimal(0), near
+    top, (_, digits, exponent) = value.adjusted(), value.as_tuple()
+    trailing = len(digits) - len("".join(map(str, digits)).rstrip("0"))
+    exact = value.quantize(Decimal(1).scaleb(-18), context=_FIXED) if top < 20 and exponent + trailing >= -18 else None
+    whole = value.quantize(Decimal(1), context=_FIXED) if top < 38 and exponent + trailing >= 0 else None
+    return whole, exact, None if math.isinf(near) else near
+
+
 def _branches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -283,9 +381,9 @@ def _branches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for path, x in fields(parse_object(payload) or {}):
                 t = tag(x)
                 text = None if t is None else x if t == "string" else canonical(x)
+                whole, exact, near = _branches_of_number(x) if t in ("decimal", "integer") else (None, None, None)
                 out.append((
-                    delivery, resource, version, fingerprint, path, t, x if t == "string" else None,
-                    Decimal(x) if t == "integer" and abs(x) < 10**38 else None, float(x) if t in ("decimal", "integer") and len(str(x)) < 300 else None,
+                    delivery, resource, version, fingerprint, path, t, x if t == "string" else None, whole if t == "integer" else None, exact, near,
                     x if t == "boolean" else None, text if t == "array" else None, text,
                 ))
         if out:
@@ -324,7 +422,9 @@ def _names_in_time(group: pd.DataFrame) -> pd.DataFrame:
 def unified(rows: DataFrame, changes: DataFrame | None = None) -> DataFrame:
     """One consistent table of all payloads: a row per payload and field, with a typed branch and a canonical text.
 
-    With ``changes`` (a report), fields that were renamed stand under their newest name beside the one they had.  Rows
+    ``as_integer`` holds whole numbers of up to 38 digits, ``as_decimal`` numbers of up to 20 digits before the point and 18
+    behind it, both exactly; ``as_double`` is the nearest double of any number in its range.  What does not fit a branch
+    is null there and stays whole in ``canonical``.  With ``changes`` (a report), fields that were renamed stand under their newest name beside the one they had.  Rows
     without a shape count as of before the first shape.
     """
     ship(rows.sparkSession)

@@ -1,6 +1,7 @@
 """Mixtures against exact arithmetic, and the classifier on held-out rows."""
 
 import random
+from dataclasses import replace
 from fractions import Fraction
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encoder
-from tidemark.llm.mixing import Targets, fit_membership, membership, mix, soft_member
+from tidemark.llm.mixing import Sources, Targets, fit_membership, membership, mix, soft_member, verify
 
 WORDS = {"ships": "harbour vessel tide anchor cargo pier".split(), "law": "court verdict appeal clause witness judge".split(), "code": "shard cursor index replica token query".split()}
 
@@ -89,3 +90,34 @@ def test_membership_is_certain_for_labels(spark):
         assert (r.source_no is None) == (r.source is None) and (r.member is None) == (r.source is not None)
     assert Targets.of(_targets(spark, [("a", 1.0, 1), ("b", 3.0, 2)])).shares() == [Fraction(1, 4), Fraction(3, 4)]
     assert docs.filter(F.col("source").isNull()).count() > 0
+
+
+def test_sources_come_from_the_fitted_rates(spark, tmp_path, monkeypatch):
+    """Without its steps the descent names other sources; without convergence it names none."""
+    docs = _docs(spark, 200, 4, 0.1).select("key", "source", "text")
+    targets = _targets(spark, [("ships", 20.0, 2), ("law", 1.0, 3), ("code", 1.0, 2)])
+    sources = Sources.of(docs, targets, str(tmp_path))
+    fitted = sources.fit(False)
+    assert fitted.unreachable() == ["ships"] and fitted.converged and len(fitted.descent.history) <= 3
+    fitted.descent = replace(fitted.descent, history=[], rate=np.zeros(3), reached=np.zeros(3))
+    assert fitted.unreachable() == []
+    sources.root = f"{tmp_path}/again"
+    hasty = sources.fit(True, iterations=1)
+    assert not hasty.converged
+    with pytest.raises(RuntimeError):
+        hasty.unreachable()
+
+
+@pytest.mark.parametrize("soft", [False, True])
+def test_a_mixture_is_verified_from_its_rates(spark, tmp_path, soft):
+    targets = _targets(spark, [("ships", 10.0, 1), ("law", 1.0, 3), ("code", 0.5, 2), ("nobody", 2.0, 9), ("zero", 0.0, 1)])
+    m = mix(_docs(spark, 200, 6).select("key", "source", "text"), targets, str(tmp_path), soft)
+    assert [(r.within_cap, r.sums_agree, r.optimal) for r in verify(m).collect()] == [(True, True, True)] * 5
+    m.descent.history[-1] = m.descent.history[-1] * 0.5  # other rates than those fitted
+    assert not all(r.sums_agree and r.optimal for r in verify(m).collect())
+
+
+def test_a_classifier_has_a_bound(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.mixing.MODEL_CELLS", 10)
+    with pytest.raises(ValueError):
+        fit_membership(_docs(spark, 20).filter("source is not null").select("key", "source", "text"), sorted(WORDS))

@@ -4,6 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidemark.llm.abbreviations import languages
 from tidemark.llm.sentences import SPACE, sentences, split_texts
 
 #: Each case is the list of its sentences; joined by one space unless a separator is given.
@@ -105,3 +106,57 @@ def test_rows_of_a_table(spark):
     got = sorted(tuple(r) for r in split_texts(df).collect())
     assert got == sorted((k, a, b) for k, t in rows for a, b in sentences(t))
     assert split_texts(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(("text", "lang", "count"), [
+    ("He met his ex. Then she left the room.", "en", 2), ("He met his ex. Then she left the room.", None, 2), ("Plan B. Then we left", None, 2), ("Vitamin C. It helps", "en", 2),
+    ("We saw it Jan. 5 in the morning.", "en", 1), ("Ho visto il sig. Rossi ieri.", "it", 1), ("Il dott. Bianchi arriva.", None, 1), ("Zie blz. 5 van het boek.", "nl", 1),
+    ("Proszę, np. Warszawa jest duża.", "pl", 1), ("Proszę, np. Warszawa jest duża.", "en", 1), ("He asked the gen. Nobody there answered him.", "en", 2), ("Er kam am 3. Mai und ging.", "de", 1),
+    ("The word was " + "x" * 5_000 + ". It ended.", "en", 2), ("Er sagte " + "ab" * 40 + ". Dann ging er.", "DE", 2),
+])
+def test_abbreviations_belong_to_languages(text, lang, count):
+    assert len(sentences(text, lang)) == count
+
+
+def test_languages_of_texts():
+    assert languages("The ship was in the harbour and it left with her.", "fr") == {"en"}
+    assert "de" in languages("Kurz.", "de-AT") and {"it", "en"} <= languages("xyz", "und") and languages("") == frozenset()
+    assert languages("Он был на борту, и это было важно для них.", None) >= {"ru"} and "en" not in languages("Он был на борту, и это было", None)
+
+
+#: Sentences of languages and wordings that no test table has; none was used to make the lists.
+HELD_OUT = {
+    "en": ["Rev. Hale spoke to Lt. Moss on Sept. 3 about it.", "She lives near St. Ives.", "See pp. 4 and 5, or ch. 2.", "It is cold, i.e. below zero.", "Was it Mrs. Dale?", "They met Gen. Orr, Gov. Pike and Sen. Lund."],
+    "de": ["Prof. Anders und Fr. Lind kamen am 9. Juni an.", "Vgl. dazu Kap. 3 und Anm. 7.", "Das gilt z. B. für Boote bzw. Schiffe.", "Ist das so?", "Er kam, d. h. er fuhr."],
+    "fr": ["M. Duval et Mme Roche sont là.", "Voir fig. 3 et chap. 2.", "Mgr. Blanc parle avec le Dr. Petit.", "Est-ce vrai ?", "Il pèse env. 3 kilos."],
+    "es": ["El Sr. Gil y la Sra. Paz llegaron.", "Véase el cap. 3 y la fig. 2.", "Hay barcos, p. ej. veleros.", "¿Es cierto?", "La Dra. Sol lo sabe."],
+    "it": ["Il sig. Conti e la sig.ra Verdi sono partiti.", "Si veda pag. 12 e fig. 3.", "L'ing. Russo lavora con il prof. Neri.", "È vero?", "Cfr. cap. 4 del libro."],
+    "pt": ["O Sr. Lima e a Sra. Reis chegaram.", "Ver pág. 9 e cap. 2.", "O Dr. Pinto não está.", "É verdade?", "Há barcos, p.ex. veleiros."],
+    "nl": ["Dhr. Smit en mevr. Bos zijn er niet.", "Zie blz. 14 en fig. 2.", "Prof. Vos werkt met drs. Kok.", "Is dat waar?", "Het schip, d.w.z. de boot, is weg."],
+    "pl": ["Pan prof. Nowak i dr Lis są tutaj.", "Zob. str. 12 i rys. 3.", "Mieszka przy ul. Długiej.", "Czy to prawda?", "Jest wiele miast, np. Kraków."],
+    "sv": ["Det finns båtar, t.ex. segelbåtar.", "Se s. 12 och fig. 3.", "Prof. Berg och dr. Lund är här.", "Är det sant?", "Hon kom kl. 9 på kvällen."],
+    "tr": ["Dr. Kaya ve Prof. Demir geldi.", "Bkz. s. 12 ve şek. 3.", "Bu doğru mu?", "Av. Yılmaz da burada."],
+    "uk": ["Проф. Коваль та акад. Бойко були тут.", "Див. стор. 12 та рис. 3.", "Чи це правда?", "Він жив на вул. Новій."],
+    "el": ["Ο κ. Παππάς και η κα. Νίκου ήρθαν.", "Βλ. σελ. 12 και εικ. 3.", "Είναι αλήθεια;", "Υπάρχουν πλοία, π.χ. ιστιοφόρα."],
+}
+
+
+def held_out_scores() -> dict[str, tuple[float, float]]:
+    """(recall, precision) of boundaries between the held-out sentences, by language."""
+    out = {}
+    for lang, parts in HELD_OUT.items():
+        for k in range(len(parts)):  # each sentence behind each other one
+            for a, b in ((parts[k], parts[k - j]) for j in range(1, len(parts))):
+                text, cut = f"{a} {b}", len(a)
+                found = {e for _, e in sentences(text, lang)[:-1]}
+                out.setdefault(lang, [0, 0, 0])
+                out[lang][0] += cut in found
+                out[lang][1] += 1
+                out[lang][2] += len(found)
+    return {lang: (hit / there, hit / max(1, told)) for lang, (hit, there, told) in out.items()}
+
+
+def test_held_out_languages():
+    scores = held_out_scores()
+    assert sum(r for r, _ in scores.values()) / len(scores) >= 0.95, scores
+    assert sum(p for _, p in scores.values()) / len(scores) >= 0.95, scores

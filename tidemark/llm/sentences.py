@@ -20,7 +20,9 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tidemark.llm.abbreviations import ANY, LONGEST, Evidence, Lists, languages, lists, tag
 from tidemark.shipping import ship
 
 #: White_Space of Unicode.
@@ -31,31 +33,6 @@ _LINE_END = r"(?:\r\n|[\n\x0b\x0c\r\x85\u2028\u2029])"
 _BLANK = regex.compile(rf"(?:{_LINE_END}{_WS}*?{_LINE_END}|\u2029){_WS}*")
 _LINES = regex.compile(_LINE_END)
 
-#: Abbreviations nothing ends with: titles and words that need what follows (fixed values, by language).
-OPEN_ABBREVIATIONS = frozenset(
-    # English
-    "dr mr mrs ms messrs prof insp sgt capt col gen lt rev hon st mt ft e.g i.e eg ie cf vs viz approx esp "
-    # German
-    "hr fr frl bzw z.b d.h u.a z vgl ca evtl ggf sog inkl bspw "
-    # French
-    "m.m mm mme mlle mgr p.ex ex env "
-    # Spanish
-    "sr sra srta dra d.ª ee p.ej ej aprox "
-    # Russian
-    "т т.е е др проф акад им "
-    # Arabic
-    "د أ م هـ "
-    # Hindi
-    "डॉ डा श्री प्रो पं".split()
-)
-#: Abbreviations that are open only where a number follows.
-NUMBER_ABBREVIATIONS = frozenset(
-    "no nos nr p pp pg fig figs sec sect art arts ch chap vol ed eq par §  s abb kap bd tab abs "
-    "pág págs núm núms cap стр с рис гл п ст ص ج ف पृ सं".split()
-)
-#: Words after which a day's number with a point stands (German months).
-MONTHS = frozenset("januar jänner februar märz april mai juni juli august september oktober november dezember".split())
-
 _TERMINATOR = regex.compile(r"[\p{SB=STerm}\p{SB=ATerm}…‥]+")
 _FULL_STOP = frozenset(".․﹒．")
 _DOTS = frozenset(".…‥․")
@@ -66,18 +43,21 @@ _CLOSERS = frozenset(_PAIRS.values()) | {'"', "'"}
 _CONTINUE = frozenset(",;:،؛，；：、、︑")
 _DASHES = frozenset("-–—―‒")
 _WORD_END = regex.compile(r"[^\s(\[{«“„\"'‘（「『]+$")
+_PLAIN_TAIL = regex.compile(r"(?r)(?:[\p{L}\p{M}\-’']*|[\d.,:%]*)")
 _MARKS = regex.compile(r"[(\[{（［【〔「『《〈«“„‟‹‚)\]}）］】〕」』》〉»”›\"]")
-_SPECIAL = regex.compile(r"<\|[^|<>\s]{1,40}\|>")
+_SPECIAL = regex.compile(r"<\|[^|<>\s]++\|>")
 _SPACED = regex.compile(rf"(?<=[\p{{Thai}}\p{{Lao}}]){_WS}[{SPACE}\u200b]*(?=(?:(?:<\|\w+\|>|[\p{{So}}\p{{Sk}}\p{{Cf}}\ufe0f]+){_WS}+)?[\u201c\"(]?[\p{{Thai}}\p{{Lao}}])")
 _FOREIGN = regex.compile(rf"(?<=[\p{{Thai}}\p{{Lao}}]){_WS}+(?=[\u201c\"(]?\p{{Lu}}[^\p{{Thai}}\p{{Lao}}]*[.!?][\u201d\")]*(?:{_WS}|$))")
 _BULLET = regex.compile(r"[^\S\r\n]*(?:([-*•‣◦▪●·–])|(\d{1,3})[.)]|(\p{Ll})\)|[(（](\d{1,3})[)）]|(\p{Ll})\.)[^\S\r\n]+(?=\S)")
-_WORDS = regex.compile(r"(?<!\S)[\p{P}]*[\p{L}\p{M}][\p{L}\p{M}'’\-·.]{0,40}[\p{P}]*(?!\S)|[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Hangul}]+")
+_WORDS = regex.compile(r"(?<!\S)[\p{P}]*+[\p{L}\p{M}][\p{L}\p{M}'’\-·.]*+[\p{P}]*+(?!\S)|[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Hangul}]+")
 _LETTER = regex.compile(r"[\p{L}\p{N}]")
 _LOWER = regex.compile(r"\p{Ll}")
 _UPPER = regex.compile(r"[\p{Lu}\p{Lt}]")
 _NO_SPACES = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 _NAME_LIKE = regex.compile(r"\p{Ll}[\p{L}\p{N}]*(?:_\w|\.\p{L}{2,}(?=[\s/:])|://|\S*@\S+\.)")
-_ALPHA_WORD = regex.compile(r"\p{L}[\p{L}\p{M}.]*")
+#: A time that opens its sentence, behind one word at most ("At 4 a.m. ...").
+_NO_WORD = r"(?:[^\p{L}<]|<(?!\|)|<\|[^|<>\s]++\|>)"
+_OPENING_TIME = regex.compile(rf"{_NO_WORD}*+(?:\p{{L}}++{_NO_WORD}++)?[ap]\.m", regex.IGNORECASE)
 _LETTERS = regex.compile(r"[\p{L}\p{M}]+")
 _PLAIN_WORD = regex.compile(r"[\p{L}\p{M}\-’']{2,}|\d[\d.,:]*%?")
 _INITIAL, _INITIALS, _ARABIC = regex.compile(r"[\p{Lu}\p{Lt}]\p{M}*"), regex.compile(r"(?:[\p{Lu}\p{Lt}]\.)+[\p{Lu}\p{Lt}]"), regex.compile(r"\p{Arabic}")
@@ -95,19 +75,20 @@ def is_language(text: str) -> bool:
     return missing <= 0
 
 
-def sentences(text: str | None) -> list[tuple[int, int]]:
-    """(start, end) of each sentence, end exclusive, in order."""
+def sentences(text: str | None, lang: str | None = None) -> list[tuple[int, int]]:
+    """(start, end) of each sentence, end exclusive, in order. ``lang`` may be null, unknown or wrong."""
     if not text:
         return []
+    own = _Languages(text, lang)
     out: list[tuple[int, int]] = []
     if not is_language(text):
         _add(text, 0, len(text), out)
         return out
     at = 0
     for gap in _BLANK.finditer(text):
-        _block(text, at, gap.start(), out)
+        _block(text, at, gap.start(), out, own)
         at = gap.end()
-    _block(text, at, len(text), out)
+    _block(text, at, len(text), out, own)
     return out
 
 
@@ -120,7 +101,7 @@ def _add(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
         out.append((start, end))
 
 
-def _block(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
+def _block(text: str, start: int, end: int, out: list[tuple[int, int]], own: _Languages) -> None:
     """A block between blank lines: a list, whose items are sentences, or a paragraph."""
     while start < end and text[start] in _SPACES:
         start += 1
@@ -131,7 +112,7 @@ def _block(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
         for a, b in zip(items, [*items[1:], end]):
             _add(text, a, b, out)
         return
-    for a, b in _paragraph(text, start, end):
+    for a, b in _paragraph(text, start, end, own):
         _add(text, a, b, out)
 
 
@@ -172,7 +153,7 @@ def _spans(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return sorted(spans)
 
 
-def _paragraph(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+def _paragraph(text: str, start: int, end: int, own: _Languages) -> Iterator[tuple[int, int]]:
     spans = _spans(text, start, end)
     opened = dict(spans)
     closing = {b: a for a, b in spans}
@@ -182,6 +163,7 @@ def _paragraph(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
             outer.append(span)
     within = _Within(outer)
     letters = _Letters(text, end)
+    words = _Words(text, start, own)
     cuts = [(m.end(), m) for m in _TERMINATOR.finditer(text, start, end)]
     cuts += [(m.end(), None) for r in (_SPACED, _FOREIGN) for m in r.finditer(text, start, end)]
     cuts.sort(key=lambda c: c[0])
@@ -194,7 +176,7 @@ def _paragraph(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
                 yield at, position
                 at = position
             continue
-        cut = _cut(text, at, m, end, within, opened, closing, letters)
+        cut = _cut(text, at, m, end, within, opened, closing, letters, words)
         if cut is not None:
             yield at, cut
             at = cut
@@ -225,7 +207,7 @@ class _Letters:
         return (self.text[self.found], self.found) if self.found < self.end else None
 
 
-def _cut(text: str, at: int, m, end: int, within: _Within, opened: dict, closing: dict, letters: _Letters) -> int | None:
+def _cut(text: str, at: int, m, end: int, within: _Within, opened: dict, closing: dict, letters: _Letters, words: _Words) -> int | None:
     """Where the sentence that began at ``at`` ends, if the terminator ends it."""
     a, b = m.span()
     e, quote, bracket = b, None, None
@@ -266,12 +248,12 @@ def _cut(text: str, at: int, m, end: int, within: _Within, opened: dict, closing
     letter = letters(n)
     lower = letter is not None and _LOWER.match(letter[0]) is not None and not _NAME_LIKE.match(text, letter[1])
     if quote is not None:
-        return _after_quote(text, at, e, n, spaced, letter, lower, quote)
+        return _after_quote(words.first(at), e, n, spaced, letter, lower, quote)
     if dotted:
         if lower:
             return None
         if mark == "." and bracket is None:
-            return e if _stop_ends(text, at, a, e, n, end, spaced, letter) else None
+            return e if _stop_ends(text, at, a, e, n, end, spaced, letter, words) else None
         if not spaced and e == b and len(mark) > 1 and letter is not None and not _NO_SPACES.match(letter[0]) and mark[0] == ".":
             return e if _UPPER.match(letter[0]) else None
         return e
@@ -295,7 +277,7 @@ def _next_letter(text: str, n: int, end: int) -> int:
     return end
 
 
-def _after_quote(text: str, at: int, e: int, n: int, spaced: bool, letter, lower: bool, quote: int) -> int | None:
+def _after_quote(first: int, e: int, n: int, spaced: bool, letter, lower: bool, quote: int) -> int | None:
     """Behind a closed quotation: the words that report it belong to its sentence."""
     if lower:
         return None
@@ -303,7 +285,7 @@ def _after_quote(text: str, at: int, e: int, n: int, spaced: bool, letter, lower
         return e
     c = letter[0]
     cased = _UPPER.match(c) is not None
-    begins = quote - at < 64 and not text[at:quote].strip(SPACE + "\u200b")
+    begins = first == quote
     if not spaced and letter[1] == n:
         # attached words report the quotation, unless it came after its announcement
         return None if begins or not _NO_SPACES.match(c) else e
@@ -312,59 +294,131 @@ def _after_quote(text: str, at: int, e: int, n: int, spaced: bool, letter, lower
     return e
 
 
-def _stop_ends(text: str, at: int, a: int, e: int, n: int, end: int, spaced: bool, letter) -> bool:
+class _Words:
+    """What stands before a full stop, and the lists of the text's languages."""
+
+    def __init__(self, text: str, start: int, own: _Languages):
+        self.text, self.own = text, own
+        self.at, self.letter = -1, -1
+
+    def before(self, at: int, a: int) -> str | None:
+        """The word that ends at ``a``, not before ``at``, without format characters; None where it is longer than any
+        word of the lists."""
+        low = max(at, a - LONGEST - 8)
+        found = _WORD_END.search(self.text[low:a])
+        if not found:
+            return ""
+        if found.start() == 0 and low > at and _WORD_END.fullmatch(self.text[low - 1]):
+            return None
+        return unicodedata.normalize("NFC", _FORMAT.sub("", found[0]))
+
+    def plain(self, at: int, a: int) -> bool:
+        """Whether the word that ends at ``a`` is one of letters, or a number."""
+        begin = _PLAIN_TAIL.match(self.text, at, a).start()
+        return begin < a and (begin == at or not _WORD_END.fullmatch(self.text[begin - 1])) and _PLAIN_WORD.fullmatch(self.text, begin, a) is not None
+
+    def first(self, at: int) -> int:
+        """The first visible character from ``at`` on."""
+        if at != self.at:
+            n = at
+            while n < len(self.text) and (self.text[n] in _SPACES or self.text[n] == "\u200b"):
+                n += 1
+            self.at, self.letter = at, n
+        return self.letter
+
+
+class _Languages:
+    """The lists for a place in a text: of the languages its sentence shows so far and of the text's own.
+
+    A sentence that shows none counts as of the text's languages and the declared one.
+    """
+
+    def __init__(self, text: str, declared: str | None):
+        self.text, self.declared = text, declared
+        self.whole: frozenset[str] | None = None
+        self.at, self.upto, self.evidence = -1, -1, Evidence()
+
+    def __call__(self, at: int, a: int) -> Lists:
+        if self.whole is None:
+            self.whole = languages(self.text, self.declared)
+        if at != self.at:
+            self.at, self.upto, self.evidence = at, at, Evidence()
+        self.evidence.add(self.text, self.upto, a)
+        self.upto = max(self.upto, a)
+        shown = self.evidence.shown() or {tag(self.declared)} - {None}
+        return lists(self.whole | shown)
+
+
+def _stop_ends(text: str, at: int, a: int, e: int, n: int, end: int, spaced: bool, letter, words: _Words) -> bool:
     """Whether a single full stop ends its sentence; what follows is no lower-case word."""
-    word = _WORD_END.search(text[max(at, a - 40) : a])
-    word = unicodedata.normalize("NFC", _FORMAT.sub("", word[0])) if word else ""
+    word = words.before(at, a)
     if letter is None:
         return spaced
     c, first = letter
+    bare = _ELISION.sub("", word.casefold()) if word else ""
+    capital = bool(word) and word[0].isupper()
+    is_open = bare in ANY.open and Lists.has(words.own(at, a).open, bare, capital)
     if not spaced:
         # "Treffer.Die": a missing space, but not in names, numbers, initials
+        long = word is None or len(word) > 1
         if text[n] in _PAIRS and first == n + 1 and _UPPER.match(c):
-            return len(word) > 1 and word.casefold() not in OPEN_ABBREVIATIONS
-        if first != n or not word or not _UPPER.match(c):
-            return bool(word) and first == n and not c.isdigit() and not _LOWER.match(c) and len(word) > 1 and not _UPPER.match(c)
+            return long and not is_open
+        if first != n or word == "" or not _UPPER.match(c):
+            return word != "" and first == n and not c.isdigit() and not _LOWER.match(c) and long and not _UPPER.match(c)
         tail = text[n + 1 : n + 2]
-        plain = _PLAIN_WORD.fullmatch(word) is not None
-        return plain and (not tail or tail in _SPACES or tail in ".-’'" or tail.isalpha()) and word.casefold() not in OPEN_ABBREVIATIONS
-    bare = _ELISION.sub("", word.casefold())
-    if bare in OPEN_ABBREVIATIONS:
+        plain = words.plain(at, a) if word is None else _PLAIN_WORD.fullmatch(word) is not None
+        return plain and (not tail or tail in _SPACES or tail in ".-’'" or tail.isalpha()) and not is_open
+    if word is None:
+        return True
+    if is_open:
         return False
-    if bare in NUMBER_ABBREVIATIONS and c.isdigit():
+    if c.isdigit() and bare in ANY.number and Lists.has(words.own(at, a).number, bare, capital):
         return False
-    if _INITIAL.fullmatch(word) and _UPPER.match(c):
-        return False  # an initial
-    if _INITIALS.fullmatch(word) and len(word) == 3 and _UPPER.match(c):
-        return False  # initials without space
-    if bare in ("a.m", "p.m") and a - at < 80 and len(_ALPHA_WORD.findall(_SPECIAL.sub(" ", text[at:a]))) <= 2:
-        return False  # "At 4 a.m. Mr. Tarn": the sentence has no more than its time yet
-    if word.isdigit() and _month(text, first, end):
+    if _UPPER.match(c):
+        if _INITIAL.fullmatch(word):  # an initial, unless a word follows that only begins sentences ("Plan B. Then ...")
+            return _next_word(text, first, end) in words.own(at, a).starts
+        if _INITIALS.fullmatch(word) and len(word) == 3:
+            return False  # initials without space
+        if bare in ("a.m", "p.m") and _OPENING_TIME.fullmatch(text, at, a):
+            return False  # the sentence has no more than its time yet
+    if word.isdigit() and _next_word(text, first, end) in ANY.months and _next_word(text, first, end) in words.own(at, a).months:
         return False
     if _ARABIC.fullmatch(word):
         return False
     return True
 
 
-def _month(text: str, n: int, end: int) -> bool:
+def _next_word(text: str, n: int, end: int) -> str:
     m = _LETTERS.match(text, n, end)
-    return bool(m) and unicodedata.normalize("NFC", m[0]).casefold() in MONTHS
+    return unicodedata.normalize("NFC", m[0]).casefold() if m else ""
 
 
-def split_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, sent_start, sent_end): one row per sentence of each text."""
+#: A batch of results is sent on when it has so many sentences.
+BATCH_ROWS = 50_000
+
+
+def split_texts(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = "lang") -> DataFrame:
+    """(key, sent_start, sent_end): one row per sentence of each text. ``lang`` names the column of languages, if there is one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, starts, ends = [], [], []
-            for row, t in enumerate(batch.column(1).to_pylist()):
-                for a, b in sentences(t):
+
+            def made() -> pa.RecordBatch:
+                keys = batch.column(0).take(pa.array(rows, pa.int32()))
+                return pa.RecordBatch.from_arrays([keys, pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=[key, "sent_start", "sent_end"])
+
+            for row, (t, own) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                for a, b in sentences(t, own):
                     rows.append(row)
                     starts.append(a)
                     ends.append(b)
-            keys = batch.column(0).take(pa.array(rows, pa.int32()))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=[key, "sent_start", "sent_end"])
+                if len(rows) >= BATCH_ROWS:
+                    yield made()
+                    rows, starts, ends = [], [], []
+            yield made()
 
     ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
-    return df.select(df[key].alias("_k"), df[text].alias("_t")).mapInArrow(run, f"`{key}` {kind}, sent_start int, sent_end int")
+    declared = df[lang].cast("string") if lang is not None and lang in df.columns else F.lit(None).cast("string")
+    return df.select(df[key].alias("_k"), df[text].alias("_t"), declared.alias("_l")).mapInArrow(run, f"`{key}` {kind}, sent_start int, sent_end int")

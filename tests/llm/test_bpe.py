@@ -83,3 +83,19 @@ def test_rows_of_a_table(spark, own):
     assert got == sorted((k, own.encode(t)) for k, t, _ in rows) and got[0] == (1, []) and got[1] == (2, [])
     assert sorted((r.doc_id, r.n_tokens) for r in count_tokens(df, ["doc_id"]).collect()) == sorted((k, len(own.encode(t))) for k, t, _ in rows)
     assert encode_texts(df.limit(0)).collect() == []
+
+
+def test_vocabularies_cut_otherwise_are_refused(tmp_path):
+    with open(f"{TOKENIZERS}/byte_bpe_50k.json", encoding="utf-8") as file:
+        whole = json.load(file)
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": None}, {"model": {**whole["model"], "byte_fallback": True}}):
+        (tmp_path / "other.json").write_text(json.dumps({**whole, **change}), encoding="utf-8")
+        with pytest.raises(ValueError):
+            PrefixEncoder.from_json(str(tmp_path / "other.json"))
+
+
+def test_long_batches_are_sent_in_parts(spark, own, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.bpe.BATCH_IDS", 5)
+    texts = [None, "a b c d e f g", "", "one two", "x" * 40, "y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    assert sorted((r.doc_id, list(r.ids)) for r in encode_texts(df).collect()) == [(k, own.encode(t)) for k, t in enumerate(texts)]

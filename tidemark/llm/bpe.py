@@ -21,7 +21,8 @@ import os
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.shipping import ship
 
@@ -72,7 +73,11 @@ class PrefixEncoder:
     def from_json(cls, path: str) -> PrefixEncoder:
         letters = _byte_letters()
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            whole = json.load(file)
+        model, split = whole["model"], whole.get("pre_tokenizer") or {}
+        known = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        if model.get("type", "BPE") != "BPE" or not known or whole.get("normalizer") or model.get("byte_fallback") or model.get("ignore_merges"):
+            raise ValueError("a vocabulary with another way of cutting text into pieces")
         raw = lambda text: bytes(letters[c] for c in text)
         vocabulary = {raw(t): i for t, i in model["vocab"].items() if all(c in letters for c in t)}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -164,20 +169,39 @@ def encoder(name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> PrefixEncod
     """The worker's encoder: built once in a Python worker and kept for its later tasks."""
     path = os.path.join(folder, f"{name}.json")
     if path not in _encoders:
-        _encoders[path] = PrefixEncoder.from_json(path)
+        _encoders[path] = PrefixEncoder.from_json(path if os.path.exists(path) else SparkFiles.get(f"{name}.json"))
     return _encoders[path]
 
 
+def provide(spark: SparkSession, name: str, folder: str) -> None:
+    """Send the package and the vocabulary to the executors, which need not have its folder."""
+    ship(spark)
+    path, sent = os.path.join(folder, f"{name}.json"), getattr(spark.sparkContext, "_tidemark_vocabularies", set())
+    if path not in sent:
+        spark.sparkContext.addFile(path)
+        spark.sparkContext._tidemark_vocabularies = sent | {path}
+
+
+#: A batch of results is sent on when it has so many ids.
+BATCH_IDS = 1 << 20
+
+
 def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
     """(key, ids): the ids of each text, one row per row of ``df``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(name, folder)
         for batch in batches:
-            ids = [own.encode(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
-
-    ship(df.sparkSession)
+            ids, size, first = [], 0, 0
+            for t in batch.column(1).to_pylist():
+                ids.append(own.encode(t))
+                size += len(ids[-1])
+                if size >= BATCH_IDS:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ids)), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
+                    ids, size, first = [], 0, first + len(ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
+
+    provide(df.sparkSession, name, folder)
     kind = df.schema[key].dataType.simpleString()
     return df.select(df[key].alias("_k"), df[text].alias("_t")).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
 
@@ -191,6 +215,6 @@ def count_tokens(df: DataFrame, keep: list[str], text: str = "text", name: str =
             n = [len(own.encode(t)) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], names=[*keep, "n_tokens"])
 
-    ship(df.sparkSession)
+    provide(df.sparkSession, name, folder)
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
     return df.select(*[df[c] for c in keep], df[text].alias("_text")).mapInArrow(run, f"{fields}, n_tokens bigint")

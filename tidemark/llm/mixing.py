@@ -34,8 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import TOKENIZERS, encoder
-from tidemark.shipping import ship
+from tidemark.llm.bpe import TOKENIZERS, encoder, provide
 from tidemark.storage import write_once
 
 SAMPLE_PER_SOURCE = 400
@@ -67,7 +66,7 @@ class Targets:
 
 def fit_membership(labelled: DataFrame, names: list[str], per_source: int = SAMPLE_PER_SOURCE, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> np.ndarray | None:
     """Log-probabilities of token ids by source (sources x ids, the last column the prior) from (key, source, text)."""
-    ship(labelled.sparkSession)
+    provide(labelled.sparkSession, tokenizer, folder)
     sizes = {r[0]: r[1] for r in labelled.groupBy("source").count().collect()}
     if not sizes:
         return None
@@ -111,7 +110,7 @@ def membership(docs: DataFrame, names: list[str], model: np.ndarray | None, toke
 
     ``docs`` has key, source and text.
     """
-    ship(docs.sparkSession)
+    provide(docs.sparkSession, tokenizer, folder)
     place = {s: k for k, s in enumerate(names)}
     shared = docs.sparkSession.sparkContext.broadcast(model)  # sources x vocabulary, independent of the corpus
 
@@ -303,7 +302,6 @@ class Sources:
     @classmethod
     def of(cls, docs: DataFrame, target_table: DataFrame, root: str, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> Sources:
         """Of ``docs`` (key, source, text): the classifier fitted, every document encoded and classified once."""
-        ship(docs.sparkSession)
         targets = Targets.of(target_table)
         labelled = docs.filter(F.col("source").isin(targets.names)) if targets.names else docs.limit(0)
         model = fit_membership(labelled, targets.names, tokenizer=tokenizer, folder=folder)

@@ -19,7 +19,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.engine.errors import InvalidRequest
-from tidemark.engine.values import language_tag
+from tidemark.engine.values import fingerprint, language_tag
 from tidemark.shipping import ship
 
 PLAIN_PATTERN = r"[\p{L}\p{N}]+"
@@ -142,6 +142,12 @@ def _english(word: str) -> str | None:
 CHAINS: dict[str, Callable[[str], str | None]] = {"default": _default, "english": _english}
 
 
+def chains_fingerprint() -> str:
+    """Of everything the chains' terms depend on, so that tokens made by other chains are told apart."""
+    tables = [PLAIN_PATTERN, _WORD.pattern, _HAN.pattern, sorted(STOP_WORDS), _Porter.STEP2, _Porter.STEP3, _Porter.STEP4]
+    return fingerprint([*tables, [analyse("The Élan of running foxes' 中文字 dogs", chain) for chain in ("plain", *CHAINS)]])
+
+
 def chain_of(language: str | None, analysis: str = "multilingual") -> str:
     """English for en and en-*, the default chain for any other language or none."""
     if analysis == "plain":

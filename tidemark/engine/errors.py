@@ -76,9 +76,15 @@ class Transient(EngineError):
     retryable = True
 
 
+class Rejected(Transient):
+    """Another writer was faster; nothing was applied."""
+
+    code = "bulk-rejected"
+
+
 #: Spark's and the file system's conditions, by what callers can do about them.
 _CLASSES = (
-    ("FileAlreadyExists", Conflict), ("PublishConflict", Conflict), ("FileNotFound", NotFound), ("PATH_NOT_FOUND", NotFound),
+    ("FileAlreadyExists", Conflict), ("PublishConflict", Rejected), ("FileNotFound", NotFound), ("PATH_NOT_FOUND", NotFound),
     ("AccessControl", type("Forbidden", (EngineError,), {"code": "authorization"})), ("CAST_INVALID_INPUT", MappingConflict),
     ("DATATYPE_MISMATCH", MappingConflict), ("OutOfMemory", Transient), ("SparkContext was shut down", Transient), ("Timeout", Transient),
 )

@@ -12,6 +12,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import types as T
 
+from tidemark.engine.analysis import chains_fingerprint
 from tidemark.engine.errors import InvalidRequest, Unsupported
 from tidemark.engine.values import column_name, fingerprint, language_tag
 
@@ -51,6 +52,18 @@ class Field:
     language: str | None = None
 
 
+#: Names under which a field's annotations may give its language.
+LANGUAGE_KEYS = ("language", "search.language")
+
+
+def language_of(annotations: Mapping[str, object]) -> str | None:
+    """The language that a field's annotations give; two that differ are refused."""
+    given = {annotations[k] for k in LANGUAGE_KEYS if k in annotations}
+    if len(given) > 1:
+        raise InvalidRequest("the annotations give different languages")
+    return language_tag(given.pop()) if given else None
+
+
 @dataclass(frozen=True)
 class Schema:
     resource: str
@@ -164,7 +177,7 @@ class Layout:
 
     @property
     def fingerprint(self) -> str:
-        return fingerprint(asdict(self))
+        return fingerprint({**asdict(self), "chains": chains_fingerprint()})
 
     @classmethod
     def from_dict(cls, value: Mapping) -> Layout:

@@ -153,7 +153,8 @@ def literal(value: object, kind: T.DataType) -> Column:
 
 
 def exact(f: FieldLayout) -> Column:
-    """The exact form of a field: texts beyond the keyword length are not searchable exactly."""
+    """The exact form of a field. Of text fields, texts beyond the keyword length are not searchable exactly; other texts are
+    names and codes, whose filters reach the scan as they are (a length test would keep them from it)."""
     column = F.col(f.column)
     return F.when(F.length(column) <= KEYWORD_CHARS, column) if "full-text" in f.modes else column
 

@@ -171,17 +171,9 @@ def survivors(encoded: DataFrame) -> DataFrame:
     return best.select("m_document_id", *[F.col("_d")[c].alias(c) for c in columns if c != "arrival"])
 
 
-def merged(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Stored documents with the incoming ones that are not older (both in the generation's columns)."""
-    known = stored.select("m_document_id", F.col("m_source_sequence").alias("_stored"))
-    winners = incoming.join(known, "m_document_id", "left").filter(F.col("_stored").isNull() | (F.col("m_source_sequence") >= F.col("_stored"))).drop("_stored")
-    winners = winners.select(*stored.columns)
-    return stored.join(winners.select("m_document_id"), "m_document_id", "left_anti").select(*stored.columns).unionByName(winners)
-
-
 def counts(acks: DataFrame) -> DataFrame:
     return acks.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 HIDDEN_NAMES = HIDDEN.fieldNames()
-__all__ = ["APPLIED", "MUTATION", "PERMANENT", "RETRYABLE", "STALE", "acknowledge", "canonical", "counts", "document_id_column", "encode", "merged", "survivors", "with_tokens"]
+__all__ = ["APPLIED", "MUTATION", "PERMANENT", "RETRYABLE", "STALE", "acknowledge", "canonical", "counts", "document_id_column", "encode", "survivors", "with_tokens"]

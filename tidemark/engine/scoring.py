@@ -1,6 +1,7 @@
 """BM25 as one Column per query: a sum over terms in a fixed order, without aggregating floats.
 
-Scores are therefore the same in every run and page, which the cursors rely on.  Statistics are those of the whole
+Scores are therefore the same in every run and page, which the cursors rely on.  This module scores from tokens, for tables
+that have no index; ``index`` has the same scores from postings.  Statistics are those of the whole
 generation before any filter; tombstones have no tokens and do not count.  The best field decides for a document.
 
 A fuzzy text may have any number of terms.  Up to ``LITERAL_TERMS`` they are literals of the plan; a longer list goes to
@@ -10,7 +11,7 @@ the executors once and is looked up in Arrow batches, its contributions summed i
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,12 +58,12 @@ def vocabulary(docs: DataFrame, f: FieldLayout) -> DataFrame:
     return docs.select(F.explode(F.array_distinct(f.tokens)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def analysed(layout: Layout, text: Text, docs: DataFrame) -> list[Groups]:
-    """The query's terms by field, expanded against the vocabulary if the text is fuzzy."""
+def analysed(layout: Layout, text: Text, vocabulary_of: Callable[[FieldLayout], DataFrame]) -> list[Groups]:
+    """The query's terms by field, expanded against the field's vocabulary if the text is fuzzy."""
     out = []
     for f in text.fields:
         terms = list(dict.fromkeys(analyse(text.text, chain_of(f.language, layout.analysis))))
-        near = fuzzy_terms(vocabulary(docs, f), terms, text.fuzziness) if text.fuzziness else {t: [t] for t in terms}
+        near = fuzzy_terms(vocabulary_of(f), terms, text.fuzziness) if text.fuzziness else {t: [t] for t in terms}
         out.append(Groups(f, tuple(tuple(near[t]) for t in terms)))
     return out
 
@@ -134,9 +135,10 @@ def idf(documents: int, frequency: int) -> float:
     return math.log(1 + (documents - frequency + 0.5) / (frequency + 0.5))
 
 
-def contribution(tf: Column, length: Column, weight: float, average: float) -> Column:
+def contribution(tf: Column, length: Column, weight: float | Column, average: float | Column) -> Column:
     tf = tf.cast("double")
-    return F.lit(weight) * tf / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / F.lit(average or 1.0)))
+    average = average if isinstance(average, Column) else F.lit(average or 1.0)
+    return F.lit(weight) * tf / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / average))
 
 
 def _listed(tokens: Column, length: Column, weights: Mapping[str, float], average: float) -> Column:

@@ -1,17 +1,20 @@
 """Search: one pipeline of filter, score, order and limit, declared and left to Catalyst.
 
-Mandatory filters (scope, resource, not deleted) are added here and cannot be supplied by callers.  Total and facets
+Mandatory filters (scope, resource, not deleted) are added here and cannot be supplied by callers.  Texts are answered from
+the index of the snapshot, if there is one: matches and scores come from the postings of the query's terms and no tokens
+are read; tables without an index are scanned.  Total and facets
 cover all matches, whatever the cursor; both come from one aggregation.  A page of n fetches n + 1 rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from decimal import Decimal
 from functools import cached_property
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,11 +22,12 @@ from pyspark.sql import functions as F
 from tidemark.engine.analysis import CHAINS, chain_of, words
 from tidemark.engine.cursor import Signer, after
 from tidemark.engine.errors import CursorRejected, ScopeViolation
-from tidemark.engine.layout import FieldLayout
+from tidemark.engine.index import BROADCAST_ROWS, Index
 from tidemark.engine.limits import FRAGMENT_BYTES, FRAGMENT_CHARS, Limits
 from tidemark.engine.predicate import compiled, exact, join_members, literal, scoring, split_members, texts
 from tidemark.engine.request import Plan
-from tidemark.engine.scoring import Groups, Statistics, analysed, matches, score, statistics
+from tidemark.engine.scoring import Groups, Statistics, analysed, matches, score, statistics, vocabulary
+from tidemark.shipping import ship
 
 ITEM = ["m_record_id", "m_source_version", "m_source_sequence", "m_resource"]
 
@@ -34,27 +38,54 @@ class Search:
 
     plan: Plan
     docs: DataFrame
-    scope: str | None
+    scope: str
     limits: Limits = Limits()
     stats: Statistics | None = None
+    index: Index | None = None
 
     def __post_init__(self) -> None:
+        if not isinstance(self.scope, str) or not self.scope:
+            raise ScopeViolation("a search needs its scope")
+        self._nodes = [*texts(self.plan.text), *texts(self.plan.where)]
         self._groups: dict[int, list[Groups]] = {}
-        for node in (*texts(self.plan.text), *texts(self.plan.where)):
-            self._groups[id(node)] = analysed(self.plan.layout, node, self.docs)
+        for node in self._nodes:
+            own = (lambda f: vocabulary(self.docs, f)) if self.index is None else self.index.vocabulary
+            self._groups[id(node)] = analysed(self.plan.layout, node, own)
 
     # -- the match set -----------------------------------------------------------------------------------------
     def _matches(self, node) -> Column:
+        if self.index is not None:
+            return F.coalesce(F.col(f"_t{self._place(node)}"), F.lit(False))
         return matches(self._groups[id(node)], node.every)
 
+    def _place(self, node) -> int:
+        return next(i for i, n in enumerate(self._nodes) if n is node)
+
+    @cached_property
+    def _statistics(self) -> Statistics:
+        own = [g for n in scoring(self.plan.text) for g in self._groups[id(n)]]
+        return self.stats or (statistics(self.docs, own) if self.index is None else self.index.statistics(own))
+
+    def _with_hits(self, df: DataFrame) -> DataFrame:
+        """Documents with the hits of each text: whether it matches and its score. A text that decides alone is an inner join."""
+        scored = {id(n) for n in scoring(self.plan.text)}
+        for i, node in enumerate(self._nodes):
+            groups = self._groups[id(node)]
+            stats = self._statistics if id(node) in scored else None
+            hits = self.index.hits(groups, node.every, stats).select("m_document_id", F.col("score").alias(f"_s{i}"), F.lit(True).alias(f"_t{i}"))
+            if stats and sum(stats.frequency[g.field.name, t] for g in groups for t in g.terms) <= BROADCAST_ROWS:
+                hits = F.broadcast(hits)  # not more rows than its terms have postings
+            df = df.join(hits, "m_document_id", "inner" if node is self.plan.text else "left")
+        return df
+
     @cached_property
     def matched(self) -> DataFrame:
         """All matching documents, unscored."""
         df = self.docs
-        if "m_scope" in df.columns and self.scope is not None:
-            df = df.filter(F.col("m_scope") == self.scope)
-        df = df.filter((F.col("m_resource") == self.plan.layout.resource) & ~F.col("m_deleted"))
+        df = df.filter((F.col("m_scope") == self.scope) & (F.col("m_resource") == self.plan.layout.resource) & ~F.col("m_deleted"))
         where, large = split_members(self.plan.where)
+        if self.index is not None:
+            df = self._with_hits(df)
         if where is not None:
             df = df.filter(compiled(where, True, self._matches))
         if self.plan.text is not None:
@@ -66,11 +97,12 @@ class Search:
         nodes = scoring(self.plan.text)
         if not nodes:
             return F.lit(0.0)
-        own = [g for n in nodes for g in self._groups[id(n)]]
-        stats = self.stats or statistics(self.docs, own)
         total = F.lit(0.0)
         for n in nodes:
-            total = total + score(self._groups[id(n)], stats, self._matches(n))
+            if self.index is None:
+                total = total + score(self._groups[id(n)], self._statistics, self._matches(n))
+            else:
+                total = total + F.coalesce(F.col(f"_s{self._place(n)}"), F.lit(0.0))
         return total
 
     # -- order and pages ---------------------------------------------------------------------------------------
@@ -141,8 +173,7 @@ class Search:
             position, pinned = signer.open(plan.cursor, self.bound(registry))
             if (pinned is None) == plan.point_in_time or pinned != snapshot:
                 raise CursorRejected("the cursor does not continue this search")
-        extra = [f.column for f in plan.highlights]
-        found = self.rows(position, extra).collect()
+        found = self._highlighted(self.rows(position, [f.column for f in plan.highlights])).collect()
         counts = self.counts().collect()
         shown = found[: plan.size]
         items = []
@@ -154,7 +185,7 @@ class Search:
                 "recordRef": {"collectionRef": {"catalog": "structured", "namespace": namespace, "name": name}, "recordId": r.m_record_id},
                 "sourceVersion": r.m_source_version, "sourceSequence": r.m_source_sequence, "score": r.score,
                 "sort": [_json(r[n]) for n, *_ in self.keys],
-                "highlights": {f.name: x for f in plan.highlights if (x := self.fragments(f, r[f.column]))},
+                "highlights": {f.name: x for f in plan.highlights if (x := r[f"_h_{f.column}"])},
             })
         facets: dict[str, list] = {f.name: [] for f in plan.facets}
         for c in sorted(counts, key=lambda c: (-c["count"], c.value or "")):
@@ -165,31 +196,50 @@ class Search:
         cursor = signer.issue(self.bound(registry), [_json(shown[-1][n]) for n, *_ in self.keys], snapshot) if more else None
         return {"items": items, "facets": facets, "total": {"value": total, "relation": "eq"}, "consistency": "eventual", "cursor": cursor}
 
-    def fragments(self, f: FieldLayout, text: str | None) -> list[str]:
-        """Highlighted pieces of one returned text: the terms of this field's query marked, a few hundred characters each."""
-        wanted = {t for gs in self._groups.values() for g in gs if g.field == f for t in g.terms}
-        if not text or not wanted:
-            return []
-        chain = chain_of(f.language, self.plan.layout.analysis)
-        step = CHAINS.get(chain, lambda w: w.lower())
-        hits = [(a, b) for w, a, b in words(text) if step(w) in wanted]
-        out = []
-        i = 0
-        while i < len(hits) and len(out) < self.limits.highlight_fragments:
-            start = max(0, hits[i][0] - FRAGMENT_CHARS // 4)
-            end = min(len(text), start + FRAGMENT_CHARS)
-            piece, at = "", start
-            while i < len(hits) and hits[i][1] <= end:
-                a, b = max(hits[i][0], at), hits[i][1]
-                if a < b:
-                    piece += text[at:a] + "<em>" + text[a:b] + "</em>"
-                    at = b
-                i += 1
-            if at == start:  # a term longer than the fragment
-                i += 1
-                continue
-            out.append((piece + text[at:end]).encode()[:FRAGMENT_BYTES].decode("utf-8", "ignore"))
-        return out
+    def _highlighted(self, rows: DataFrame) -> DataFrame:
+        """The rows of a page with their fragments instead of their texts, which stay on the executors."""
+        if not self.plan.highlights:
+            return rows
+        ship(rows.sparkSession)
+        for f in self.plan.highlights:
+            wanted = {t for gs in self._groups.values() for g in gs if g.field == f for t in g.terms}
+            chain, most = chain_of(f.language, self.plan.layout.analysis), self.limits.highlight_fragments
+
+            rows = rows.withColumn(f"_h_{f.column}", _marked(F.col(f.column), frozenset(wanted), chain, most))
+        return rows.drop(*[f.column for f in self.plan.highlights])
+
+
+def _marked(text: Column, wanted: Collection[str], chain: str, most: int) -> Column:
+    @F.pandas_udf("array<string>")
+    def marked(texts: pd.Series) -> pd.Series:
+        return pd.Series([fragments(t, wanted, chain, most) for t in texts], dtype=object)
+
+    return marked(text)
+
+
+def fragments(text: str | None, wanted: Collection[str], chain: str, most: int) -> list[str]:
+    """Highlighted pieces of one text: the wanted terms marked, a few hundred characters each."""
+    if not text or not wanted:
+        return []
+    step = CHAINS.get(chain, lambda w: w.lower())
+    hits = [(a, b) for w, a, b in words(text) if step(w) in wanted]
+    out = []
+    i = 0
+    while i < len(hits) and len(out) < most:
+        start = max(0, hits[i][0] - FRAGMENT_CHARS // 4)
+        end = min(len(text), start + FRAGMENT_CHARS)
+        piece, at = "", start
+        while i < len(hits) and hits[i][1] <= end:
+            a, b = max(hits[i][0], at), hits[i][1]
+            if a < b:
+                piece += text[at:a] + "<em>" + text[a:b] + "</em>"
+                at = b
+            i += 1
+        if at == start:  # a term longer than the fragment
+            i += 1
+            continue
+        out.append((piece + text[at:end]).encode()[:FRAGMENT_BYTES].decode("utf-8", "ignore"))
+    return out
 
 
 def _tagged(k: int):

@@ -7,10 +7,11 @@ from dataclasses import dataclass, field, fields
 
 from pyspark.sql import SparkSession
 
+from tidemark.engine.cursor import KeyRing
 from tidemark.engine.errors import ConfigurationError
-from tidemark.engine.limits import Limits
+from tidemark.engine.limits import CURSOR_SECONDS, LEASE_SECONDS, Limits
 from tidemark.engine.session import Session
-from tidemark.engine.values import prefix_name
+from tidemark.engine.values import is_fingerprint, prefix_name
 
 _LIMITS = {f.name for f in fields(Limits)}
 
@@ -22,6 +23,9 @@ class Settings:
     buckets: int = 16
     point_in_time: bool = False
     result_bytes: int | None = None
+    cursor_seconds: int = CURSOR_SECONDS
+    lease_seconds: int = LEASE_SECONDS
+    pin: str | None = None
     limits: Limits = field(default_factory=Limits)
 
     @classmethod
@@ -33,17 +37,22 @@ class Settings:
         if not isinstance(limits, Mapping) or set(limits) - _LIMITS:
             raise ConfigurationError("limits have unknown keys")
         made = cls(**{**given, "limits": Limits(**limits)})
-        for name, kind, low, high in (("buckets", int, 1, 65_536), ("result_bytes", int | None, 1, 1 << 31)):
+        for name, kind, low, high in (("buckets", int, 1, 65_536), ("result_bytes", int | None, 1, 1 << 31), ("cursor_seconds", int, 30, 86_400), ("lease_seconds", int, 1, 86_400)):
             value = getattr(made, name)
             if isinstance(value, bool) or not isinstance(value, kind) or (value is not None and not low <= value <= high):
                 raise ConfigurationError(f"{name} is out of bounds")
         if not isinstance(made.point_in_time, bool) or not isinstance(made.root, str) or not made.root:
             raise ConfigurationError("a setting has another type")
+        if made.pin is not None and not is_fingerprint(made.pin):
+            raise ConfigurationError("the pin is no fingerprint")
         try:
             prefix_name(made.prefix)
         except ValueError:
             raise ConfigurationError("the prefix is unusable") from None
         return made
 
-    def session(self, spark: SparkSession, secret: bytes) -> Session:
-        return Session(spark, self.root, self.prefix, secret, self.limits, self.point_in_time, self.result_bytes)
+    def session(self, spark: SparkSession, secret: bytes | KeyRing) -> Session:
+        return Session(
+            spark, self.root, self.prefix, secret, self.limits, self.point_in_time, self.result_bytes, cursor_seconds=self.cursor_seconds,
+            lease_seconds=self.lease_seconds, pin=self.pin,
+        )

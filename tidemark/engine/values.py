@@ -96,6 +96,7 @@ def scope_fingerprint(tenant: str | None, scope: Mapping[str, str] | None = None
     return fingerprint({"scope": {token(k, 64): token(v) for k, v in scope.items()}, "tenant": None if tenant is None else token(tenant)})
 
 
+#: The forms of names below are the engine's own; nothing outside reads them.
 def _short(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:24]
 

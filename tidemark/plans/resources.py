@@ -75,7 +75,7 @@ def documents_of(spark: SparkSession, d: str, layout: Layout) -> DataFrame:
     """A table as the documents of a layout; ids are padded so that they sort like the key."""
     if layout is ARCHIVE:
         df = utc_table(spark, d, "docs_primary").dropDuplicates(["m_document_id"])
-        hidden = {c: F.col(c) for c in df.columns if c.startswith("m_")}
+        hidden = {c: F.col(c) for c in df.columns if c.startswith("m_")} | {"m_scope": F.lit("all")}  # one tenant's view of the whole table
         return as_documents(df, layout, {f: F.col(f) for f in layout.fields}, F.col("m_document_id"), hidden)
     if layout is CUSTOMERS:
         df = utc_table(spark, d, "customer")

@@ -14,9 +14,9 @@ from tidemark.engine.cursor import Signer
 from tidemark.engine.generation import Generations
 from tidemark.engine.layout import Layout
 from tidemark.engine.limits import CURSOR_SECONDS, Limits
-from tidemark.engine.postings import Postings
+from tidemark.engine.index import Index, Segment, write_index
 from tidemark.engine.projection import acknowledge, counts, document_id_column, encode
-from tidemark.engine.request import from_mapping, from_operation
+from tidemark.engine.request import Plan, from_mapping, from_operation
 from tidemark.engine.search import Search
 from tidemark.plans.resources import ARCHIVE, CUSTOMERS, DOCUMENTS, ENGLISH, LINES, ORDERS, PARTS, PROPS, USER_STATE, VECTORS, documents_of
 from tidemark.sources.tables import table, utc_table
@@ -28,6 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 SECRET = b"only for the test queries"
+#: The scope that the tables are in when they are read as documents of one tenant.
+ALL = "all"
 
 
 def _put(name: str, query: Query, sql: str | None = None) -> None:
@@ -37,17 +39,21 @@ def _put(name: str, query: Query, sql: str | None = None) -> None:
         SQL[name] = sql
 
 
-def _search(spark: SparkSession, d: str, layout: Layout, where: dict | None = None, query=None, scope: str | None = None, size: int = 20, facets=(), highlights=()) -> Search:
+def _search(spark: SparkSession, d: str, layout: Layout, where: dict | None = None, query=None, scope: str = ALL, size: int = 20, facets=(), highlights=()) -> Search:
     request = {"resource": layout.resource, "query": query, "where": where or {}, "facets": list(facets), "highlights": list(highlights), "limit": size}
     return Search(from_mapping(layout, request), documents_of(spark, d, layout), scope)
 
 
-def _operation(spark: SparkSession, d: str, layout: Layout, tree=None, order=(), size: int = 20, cursor=None) -> Search:
+def _planned(layout: Layout, tree=None, order=(), size: int = 20, cursor=None) -> Plan:
     request = {
         "catalog": "structured", "operation": "search", "consistency": "eventual", "targets": [layout.resource], "filter": tree, "order": list(order),
         "page": {"size": size, **({"cursor": cursor} if cursor else {})},
     }
-    return Search(from_operation(layout, request), documents_of(spark, d, layout), None)
+    return from_operation(layout, request)
+
+
+def _operation(spark: SparkSession, d: str, layout: Layout, tree=None, order=(), size: int = 20, cursor=None) -> Search:
+    return Search(_planned(layout, tree, order, size, cursor), documents_of(spark, d, layout), ALL)
 
 
 def _ids(search: Search) -> DataFrame:
@@ -199,15 +205,24 @@ def highlight_fragments(spark: SparkSession, d: str) -> DataFrame:
 _put("highlight_fragments", highlight_fragments)
 
 
+def _indexed(spark: SparkSession, d: str, layout: Layout, query, **more) -> Search:
+    """A search over a table that was written with its index, as a generation's documents are."""
+    root = scratch(spark, "indexed")
+    docs = write_once(documents_of(spark, d, layout), f"{root}/docs")
+    index = Index(spark, layout, [Segment(docs, write_index(docs, layout, f"{root}/index"))])
+    request = {"resource": layout.resource, "query": query, "where": {}, "facets": [], "highlights": [], "limit": 20, **more}
+    return Search(from_mapping(layout, request), docs, ALL, index=index)
+
+
 def postings_ranked(spark: SparkSession, d: str) -> DataFrame:
-    """The same ranking as ``fulltext_or``, from an index of postings instead of a scan of all tokens."""
-    index = Postings.build(documents_of(spark, d, DOCUMENTS), DOCUMENTS, scratch(spark, "postings"))
-    return index.ranked(DOCUMENTS.field("text"), "ledger manifest cursor").select(
-        F.regexp_replace("m_document_id", "^0+(?=.)", "").alias("id"), F.round("score", 6).alias("score")
-    )
+    """The same ranking as ``fulltext_or``, from postings instead of a scan of all tokens."""
+    return _scored(_indexed(spark, d, DOCUMENTS, "ledger manifest cursor"))
 
 
 _put("postings_ranked", postings_ranked, _text_sql(_DOCS, _KEY, ["text"], ["ledger", "manifest", "cursor"]))
+_put("postings_every", lambda s, d: _scored(_indexed(s, d, ARCHIVE, {"text": "ledger cursor", "fields": ["title", "body"], "operator": "and"})),
+     _text_sql(_ARCHIVE, "m_record_id", ["title", "body"], ["ledger", "cursor"], every=True))
+_put("postings_fuzzy", lambda s, d: _ids(_indexed(s, d, DOCUMENTS, {"text": "der", "fuzziness": 2}, where={"lang": "de"})), _fuzzy_sql("der", 2) + " and lang = 'de'")
 
 
 # -- order and pages -------------------------------------------------------------------------------------------------
@@ -228,6 +243,8 @@ _put("sort_multi_nulls_last", lambda s, d: _first(_operation(s, d, DOCUMENTS, or
      f"select {_KEY} id from documents order by source asc nulls last, n_chars desc nulls last, doc_id limit 200")
 _put("sort_many_min", lambda s, d: _first(_operation(s, d, VECTORS, order=_order(("embedding", "asc", "last")), size=100)),
      "select cast(vec_id as varchar) id from embeddings order by list_min(embedding), vec_id limit 100")
+_put("sort_many_max", lambda s, d: _first(_operation(s, d, VECTORS, order=_order(("embedding", "desc", "first")), size=100)),
+     "select cast(vec_id as varchar) id from embeddings order by list_max(embedding) desc, vec_id limit 100")
 _put("topk_page1", lambda s, d: _search(s, d, DOCUMENTS, query="ledger manifest", size=20).rows().limit(20).select(F.col("m_record_id").alias("id"), F.round("score", 6).alias("score")),
      f"select id, score from ({_text_sql(_DOCS, 'doc_id', ['text'], ['ledger', 'manifest'])}) order by score desc, id limit 20".replace("select id, score from (", "select cast(id as varchar) id, score from (", 1))
 
@@ -254,11 +271,12 @@ def keyset_page2(spark: SparkSession, d: str) -> DataFrame:
 
 def keyset_all_pages(spark: SparkSession, d: str) -> DataFrame:
     order = _order(("n_chars", "desc", "first"))
-    return _pages(spark, lambda c: _operation(spark, d, DOCUMENTS, _cmp("eq", "source", "tip_line"), order, 40, c))
+    docs = write_once(documents_of(spark, d, DOCUMENTS).drop(*[c for f in DOCUMENTS.text_fields for c in (f.tokens, f.length)]), f"{scratch(spark, 'pages')}/docs")
+    return _pages(spark, lambda c: Search(_planned(DOCUMENTS, None, order, 500, c), docs, ALL))
 
 
 _put("keyset_page2", keyset_page2, "select cast(o_orderkey as varchar) id from orders order by o_orderpriority, o_totalprice desc, o_orderkey limit 50 offset 50")
-_put("keyset_all_pages", keyset_all_pages, f"select cast((row_number() over (order by n_chars desc nulls first, doc_id) - 1) // 40 + 1 as int) page, {_KEY} id from documents where source = 'tip_line'")
+_put("keyset_all_pages", keyset_all_pages, f"select cast((row_number() over (order by n_chars desc nulls first, doc_id) - 1) // 500 + 1 as int) page, {_KEY} id from documents")
 
 # -- totals and facets -----------------------------------------------------------------------------------------------
 _put("total_exact", lambda s, d: _search(s, d, DOCUMENTS, {"lang": "en"}, "ledger").total(),
@@ -344,6 +362,8 @@ def project_invalid_items(spark: SparkSession, d: str) -> DataFrame:
 
 _put("project_invalid_items", project_invalid_items, """select outcome, code, count(*) n from (select case when event_type in ('error', 'signup', 'purchase') then 'permanent' else 'applied' end outcome,
      case event_type when 'error' then 'mapper_parsing' when 'signup' then 'operation-invalid' when 'purchase' then 'mapper_parsing' end code from events) group by all""")
+_put("source_digests", lambda s, d: encode(_user_log(utc_table(s, d, "events"), F.col("event_id") + 1, _payload(True)), USER_STATE).groupBy("m_deleted").agg(F.count_distinct("m_source_digest").alias("digests")),
+     "select m_deleted, count(distinct k) digests from (select event_type = 'error' m_deleted, case when event_type = 'error' then '' else concat_ws('|', user_id, event_type, value) end k from events) group by 1")
 _put("bulk_counts", lambda s, d: counts(_acks(s, d, _payload(True), _by_value())),
      f"select outcome, count(*) n from ({SQL['project_stale_acks']}) group by 1")
 
@@ -359,7 +379,7 @@ def json_pointer_exact(spark: SparkSession, d: str) -> DataFrame:
     """Documents whose JSON body has a given value at a declared pointer, and none at another."""
     docs = encode(_props_log(spark, d), PROPS).filter("code is null")
     request = {"resource": PROPS.resource, "query": None, "where": {"props#/k": {"$prefix": "6"}, "props#/missing": {"$isNull": True}}, "facets": [], "highlights": [], "limit": 20}
-    return _ids(Search(from_mapping(PROPS, request), docs, None))
+    return _ids(Search(from_mapping(PROPS, request), docs, "sha256:" + "0" * 64))
 
 
 _put("json_pointer_exact", json_pointer_exact, "select cast(event_id as varchar) id from events where starts_with(json_extract_string(props, '$.k'), '6') and json_extract_string(props, '$.missing') is null")
@@ -390,7 +410,7 @@ def _part_log(parts: DataFrame, layout: Layout) -> DataFrame:
 def _two_generations(spark: SparkSession, d: str) -> Generations:
     store = Generations(spark, scratch(spark, "parts"), "tests", PARTS, buckets=4)
     parts = table(spark, d, "part")
-    for number, rows in ((1, parts.filter("p_size <= 10")), (2, parts.filter("p_size <= 30"))):
+    for number, rows in ((1, parts.filter("p_size <= 30")), (2, parts)):
         store.create(number)
         store.apply(_part_log(rows, PARTS), number)
     store.activate(1)
@@ -415,8 +435,8 @@ def generation_rollback(spark: SparkSession, d: str) -> DataFrame:
     return _small(store)
 
 
-_put("generation_cutover", generation_cutover, "select cast(p_partkey as varchar) id from part where p_size <= 30 and p_retailprice < 1500")
-_put("generation_rollback", generation_rollback, "select cast(p_partkey as varchar) id from part where p_size <= 10 and p_retailprice < 1500")
+_put("generation_cutover", generation_cutover, "select cast(p_partkey as varchar) id from part where p_retailprice < 1500")
+_put("generation_rollback", generation_rollback, "select cast(p_partkey as varchar) id from part where p_size <= 30 and p_retailprice < 1500")
 
 
 def stream_project_latest(spark: SparkSession, d: str) -> DataFrame:
@@ -444,9 +464,9 @@ def stream_outcomes(spark: SparkSession, d: str) -> DataFrame:
         part = log.filter((F.col("arrival") > top * k // 3) if k else F.lit(True)).filter(F.col("arrival") <= top * (k + 1) // 3)
         part.coalesce(1).write.parquet(f"{root}/log/part={k}")
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{root}/log")
-    writer = outcomes(stream, USER_STATE).writeStream.format("parquet").option("path", f"{root}/acks").option("checkpointLocation", f"{root}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/acks").select("event_id", "outcome")
+    query, store = outcomes(stream, USER_STATE, f"{root}/store", f"{root}/checkpoint")
+    query.awaitTermination()
+    return store.acknowledged().select("event_id", "outcome")
 
 
 _put("stream_outcomes", stream_outcomes, SQL["project_stale_acks"])
@@ -456,7 +476,7 @@ def snapshot_pages(spark: SparkSession, d: str) -> DataFrame:
     """Pages of a point in time stay the same although the generation changes between them."""
     store = _two_generations(spark, d)
     lease = store.open_lease()
-    request = {"catalog": "structured", "operation": "search", "consistency": "eventual", "targets": [PARTS.resource], "filter": _cmp("lt", "p_size", 3), "order": _order(("p_retailprice", "desc", "last")), "page": {"size": 100, "pointInTime": True}}
+    request = {"catalog": "structured", "operation": "search", "consistency": "eventual", "targets": [PARTS.resource], "filter": _cmp("lte", "p_size", 30), "order": _order(("p_retailprice", "desc", "last")), "page": {"size": 500, "pointInTime": True}}
     signer = Signer(SECRET, CURSOR_SECONDS)
     rows, cursor, n = [], None, 0
     while True:
@@ -469,9 +489,9 @@ def snapshot_pages(spark: SparkSession, d: str) -> DataFrame:
         if cursor is None:
             break
         if n == 1:  # every part of the active generation changes while the pages are read
-            store.apply(_part_log(table(spark, d, "part").filter("p_size <= 10").withColumn("p_size", F.lit(9)), PARTS), 1)
+            store.apply(_part_log(table(spark, d, "part").filter("p_size <= 30").withColumn("p_retailprice", F.lit(1.0)), PARTS), 1)
     store.close_lease(lease)
     return spark.createDataFrame(rows, "page int, id string")
 
 
-_put("snapshot_pages", snapshot_pages, "select cast((row_number() over (order by p_retailprice desc, p_partkey) - 1) // 100 + 1 as int) page, cast(p_partkey as varchar) id from part where p_size < 3")
+_put("snapshot_pages", snapshot_pages, "select cast((row_number() over (order by p_retailprice desc, p_partkey) - 1) // 500 + 1 as int) page, cast(p_partkey as varchar) id from part where p_size <= 30")

@@ -74,6 +74,10 @@ class Folder:
             return []
         return sorted(x.getPath().getName() for x in self._fs.listStatus(self._jpath(name)))
 
+    def times(self) -> list[tuple[str, float]]:
+        """(name, seconds of its last modification) of what lies in the folder."""
+        return sorted((x.getPath().getName(), x.getModificationTime() / 1000) for x in self._fs.listStatus(self._jpath("")))
+
     def remove(self, name: str = "") -> None:
         self._fs.delete(self._jpath(name), True)
 

@@ -1,7 +1,8 @@
 """The change log as a stream: micro-batches applied to a generation, and counts of outcomes.
 
 The sequence of a record orders its mutations, so no watermark is needed: late mutations are stale, repeated ones
-overwrite themselves.  A batch that is replayed after a failure leaves the same documents.
+overwrite themselves.  A batch that is replayed after a failure leaves the same documents and has the same acknowledgements:
+the store keeps those of each stream's last batch under its number.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ def project_stream(
     """Start a query that applies every micro-batch of ``mutations`` to the store's write alias."""
 
     def one(batch: DataFrame, number: int) -> None:
-        acks = store.apply(batch)
+        acks = store.apply(batch, token=(checkpoint, number))
         if acknowledged is not None:
             acknowledged(acks, number)
 

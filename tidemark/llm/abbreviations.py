@@ -115,11 +115,14 @@ class Evidence:
 
     def shown(self) -> set[str]:
         """The languages with a fair share of the evidence in their script."""
-        out = set()
-        for group, _ in SCRIPTS:
-            best = max((self.scores.get(own, 0) for own in group), default=0)
-            out |= {own for own in group if best and self.scores.get(own, 0) >= SHARE * best}
-        return out
+        best: dict[int, float] = {}
+        for own, n in self.scores.items():
+            if n > best.get(_GROUP[own], 0):
+                best[_GROUP[own]] = n
+        return {own for own, n in self.scores.items() if n >= SHARE * best[_GROUP[own]]}
+
+
+_GROUP = {own: k for k, (group, _) in enumerate(SCRIPTS) for own in group}
 
 
 def tag(declared: str | None) -> str | None:

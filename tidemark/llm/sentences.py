@@ -310,7 +310,8 @@ class _Words:
             return ""
         if found.start() == 0 and low > at and _WORD_END.fullmatch(self.text[low - 1]):
             return None
-        return unicodedata.normalize("NFC", _FORMAT.sub("", found[0]))
+        word = found[0]
+        return word if word.isascii() else unicodedata.normalize("NFC", _FORMAT.sub("", word))
 
     def plain(self, at: int, a: int) -> bool:
         """Whether the word that ends at ``a`` is one of letters, or a number."""
@@ -355,7 +356,9 @@ def _stop_ends(text: str, at: int, a: int, e: int, n: int, end: int, spaced: boo
     if letter is None:
         return spaced
     c, first = letter
-    bare = _ELISION.sub("", word.casefold()) if word else ""
+    bare = word.casefold() if word else ""
+    if "'" in bare or "’" in bare:
+        bare = _ELISION.sub("", bare)
     capital = bool(word) and word[0].isupper()
     is_open = bare in ANY.open and Lists.has(words.own(at, a).open, bare, capital)
     if not spaced:
@@ -375,15 +378,16 @@ def _stop_ends(text: str, at: int, a: int, e: int, n: int, end: int, spaced: boo
     if c.isdigit() and bare in ANY.number and Lists.has(words.own(at, a).number, bare, capital):
         return False
     if _UPPER.match(c):
-        if _INITIAL.fullmatch(word):  # an initial, unless a word follows that only begins sentences ("Plan B. Then ...")
-            return _next_word(text, first, end) in words.own(at, a).starts
-        if _INITIALS.fullmatch(word) and len(word) == 3:
+        if len(word) < 4 and _INITIAL.fullmatch(word):  # an initial, unless a word follows that only begins sentences ("Plan B. Then ...")
+            following = _next_word(text, first, end)
+            return following in ANY.starts and following in words.own(at, a).starts
+        if len(word) == 3 and _INITIALS.fullmatch(word):
             return False  # initials without space
         if bare in ("a.m", "p.m") and _OPENING_TIME.fullmatch(text, at, a):
             return False  # the sentence has no more than its time yet
-    if word.isdigit() and _next_word(text, first, end) in ANY.months and _next_word(text, first, end) in words.own(at, a).months:
+    if word.isdigit() and (following := _next_word(text, first, end)) in ANY.months and following in words.own(at, a).months:
         return False
-    if _ARABIC.fullmatch(word):
+    if len(word) == 1 and _ARABIC.fullmatch(word):
         return False
     return True
 

@@ -327,11 +327,13 @@ class Generations:
         encoded = write_once(encode(mutations, self.layout), f"{run}-work/encoded")
         incoming = write_once(survivors(encoded), f"{run}-work/incoming")
         segments = state["segments"]
-        ids = broadcast_if_small(incoming.select("m_document_id"))
-        stored = self._sequences(segments, incoming, ids)
+        stored, winners = None, incoming
+        if segments:
+            stored = write_once(self._sequences(segments, incoming), f"{run}-work/stored")
+            known = stored.select("m_document_id", F.col("m_source_sequence").alias("_stored"))
+            winners = incoming.join(known, "m_document_id", "left").filter(F.col("_stored").isNull() | (F.col("m_source_sequence") >= F.col("_stored"))).drop("_stored")
+            winners = write_once(winners, f"{run}-work/winners")
         acks = write_once(acknowledge(encoded, stored), f"{run}-work/acks")
-        known = stored.select("m_document_id", F.col("m_source_sequence").alias("_stored"))
-        winners = incoming.join(known, "m_document_id", "left").filter(F.col("_stored").isNull() | (F.col("m_source_sequence") >= F.col("_stored"))).drop("_stored")
         rows = winners.count()
         if rows:
             segments = self._unite(segments, winners, rows, run) if self._full(segments, rows) else [*segments, self._write(with_tokens(winners, self.layout), rows, 1, run)]
@@ -340,12 +342,13 @@ class Generations:
             acks_of[token[0]] = [token[1], f"{run}-work/acks"]
         manifest.publish(version + 1, {"segments": segments, "layout": self.layout.fingerprint, "acks": acks_of, **hidden})
         work = Folder(self.spark, f"{run}-work")
-        work.remove("encoded")
-        work.remove("incoming")
+        for name in ("encoded", "incoming", "stored", "winners"):
+            work.remove(name)
         return acks
 
-    def _sequences(self, segments: list[dict], incoming: DataFrame, ids: DataFrame) -> DataFrame:
+    def _sequences(self, segments: list[dict], incoming: DataFrame) -> DataFrame:
         """(m_document_id, m_source_sequence) of stored documents among the incoming ones, from two columns of their buckets."""
+        ids = broadcast_if_small(incoming.select("m_document_id"))
         parts = [self.spark.createDataFrame([], "m_document_id string, m_source_sequence bigint")]
         for s in segments:
             paths = sorted(s["paths"].values())

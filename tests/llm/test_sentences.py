@@ -24,7 +24,7 @@ CASES = [
     ["قال د. أورفان إن النسخة (ص. 99) وجدت.", "لماذا أعاد الأرشيف؟", "«أخفى الجيل»، قال تسمار."],
     ["डॉ. ओर्वन ने खोज लिया।", "क्या वह बदला?", "“वह बदला,” ओर्वन ने कहा।", "अंत॥"],
     ["“야간 배치는 봉인된 진술을 보존했다.”라고 오르반 씨가 말했다.", "값은 9.79 이었다.", "왜 숨겼다는가?"],
-    ["แฟ้มซ่อนข้อความ 868 รายการ", "คลังใช้ Polaris เพื่อเก็บ", "งานใช้เวลา 6.11 วินาที"],
+    ["แฟ้มซ่อนข้อความ 868 รายการ", "คลังใช้ Kompass เพื่อเก็บ", "งานใช้เวลา 6.11 วินาที"],
 ]
 TIGHT = [
     ["韦莫说：“审计报告返回了账册。”", "夜间批次隐藏了摘要。", "“投影保留了消息吗？”特思问道。", "投影（见第7页）没有变化……", "数值是3.25，高于9.8毫秒。", "终于！"],
@@ -90,7 +90,7 @@ def test_every_character_lies_in_one_sentence(text):
 
 @pytest.mark.parametrize("text", [
     "The end ? " * 20_000, "x " + "? " * 50_000, "a. " + "(" * 50_000 + '" ' * 50_000, "“One.” two " * 10_000, "He said (so. It was) " * 10_000, "«" * 30_000 + "a. B." * 5_000,
-    "\n \n" * 50_000 + "a", "แฟ้ม Polaris คลัง " * 10_000, "a.m. " * 20_000, "“" * 40_000 + "A. b”" * 9_000, "- a\n" * 30_000, "9. " * 30_000,
+    "\n \n" * 50_000 + "a", "แฟ้ม Kompass คลัง " * 10_000, "a.m. " * 20_000, "“" * 40_000 + "A. b”" * 9_000, "- a\n" * 30_000, "9. " * 30_000,
 ])
 def test_long_texts_take_linear_time(text):
     import time

@@ -2,23 +2,26 @@
 
 import json
 import random
+import time
 from datetime import datetime
+from functools import partial
 
 import pytest
 
 from tests.test_engine import PLANTS, PROFILE
 from tidemark.engine.analysis import analyse
-from tidemark.engine.cursor import KeyRing
+from tidemark.engine.cursor import KeyRing, Signer
 from tidemark.engine.errors import ConfigurationError, Conflict, CursorRejected, FingerprintDrift, Incompatible, InvalidRequest, LifecycleError, LimitExceeded, NotFound, Unplaced, Unsupported
 from tidemark.engine.generation import Generations
 from tidemark.engine.layout import DocumentProfile, Field, Schema, SearchProfile, compile_layout, language_of
 from tidemark.engine.limits import Limits
 from tidemark.engine.projection import MUTATION, acknowledge, encode, survivors
-from tidemark.engine.request import from_mapping
+from tidemark.engine.request import from_mapping, from_operation
 from tidemark.engine.search import Search
 from tidemark.engine.session import Session
 from tidemark.engine.settings import Settings
 from tidemark.engine.values import document_id, scope_fingerprint
+from tidemark.plans.search import QUERIES
 from tidemark.storage import Manifest, PublishConflict
 from tidemark.streaming.outcomes import Outcomes, outcomes
 from tidemark.streaming.sink import project_stream
@@ -474,6 +477,50 @@ def test_outcomes_of_a_stream(spark, tmp_path, monkeypatch):
     assert {r.arrival: (r.outcome, r.code) for r in store.acknowledged().collect()} == want and len({o for o, _ in want.values()}) == 3
 
 
+def test_a_held_lease_outlasts_long_work(spark, tmp_path):
+    store = Generations(spark, str(tmp_path), "glass", BARE, buckets=2, lease_seconds=2)
+    store.create(1)
+    store.activate(1)
+    lease = store.open_lease()
+    with store.holding(lease):
+        time.sleep(4)
+        assert store.leased(lease).version == 1
+    time.sleep(3)
+    for late in (lambda: store.leased(lease), store.holding(lease).__enter__):
+        with pytest.raises(NotFound):
+            late()
+
+
+def test_all_pages_at_once_are_the_pages_one_at_a_time(spark, session, tmp_path):
+    store = session.store(LAYOUT.resource)
+    store.apply(_mutations(spark, [_row(n, f"r{n}", 1, {**_plant(f"p{n}", "moss"), "height": (None, 10, 20)[n % 3]}) for n in range(45)]))
+    docs, signer = store.snapshot().docs.cache(), Signer(b"a secret of some length", 60)
+    for direction, nulls in (("asc", "first"), ("desc", "last")):
+        request = {"catalog": "structured", "operation": "search", "consistency": "eventual", "targets": [LAYOUT.resource], "order": [{"field": "height", "direction": direction, "nulls": nulls}]}
+        search = lambda cursor=None: Search(from_operation(LAYOUT, {**request, "page": {"size": 10, **({"cursor": cursor} if cursor else {})}}), docs, NORTH)  # noqa: B023, E731
+        pages = [search().page(signer)]
+        while pages[-1]["cursor"]:
+            pages.append(search(pages[-1]["cursor"]).page(signer))
+        want = [(n, i["recordRef"]["recordId"]) for n, p in enumerate(pages, 1) for i in p["items"]]
+        for read in (0, 2):  # from the start, and behind the cursor of the second page
+            found = search(pages[read - 1]["cursor"] if read else None).pages(f"{tmp_path}/{direction}{read}", signer, read=read)
+            assert sorted((r.page, r.m_record_id) for r in found.collect()) == sorted(x for x in want if x[0] > read) and len(want) == 45
+        with pytest.raises(CursorRejected):
+            search(pages[0]["cursor"]).pages(f"{tmp_path}/no")
+    nothing = Search(from_operation(LAYOUT, {**request, "page": {"size": 10}}), docs, "nobody")
+    assert nothing.pages(f"{tmp_path}/nothing", signer).collect() == []
+
+
+def test_pages_of_a_point_in_time_with_ties_and_a_long_change(spark, tmp_path, monkeypatch):
+    """Equal prices go by their part across the ends of pages, and the change takes longer than a lease lasts."""
+    spark.range(3_000).selectExpr("id p_partkey", "'bolt' p_name", "'b' p_brand", "'t' p_type", "cast(id % 40 as int) p_size", "cast(900 + id % 3 as double) p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr("tidemark.plans.search.Generations", partial(Generations, lease_seconds=4))
+    apply = Generations.apply
+    monkeypatch.setattr(Generations, "apply", lambda self, *a, **k: (apply(self, *a, **k), time.sleep(5))[0])
+    small = sorted((i for i in range(3_000) if i % 40 <= 30), key=lambda i: (-(i % 3), i))
+    assert sorted(map(tuple, QUERIES["snapshot_pages"](spark, str(tmp_path)).collect())) == sorted((n // 500 + 1, str(i)) for n, i in enumerate(small))
+
+
 def test_settings_are_closed(spark, tmp_path):
     made = Settings.from_mapping({"root": str(tmp_path), "prefix": "p", "buckets": 4, "limits": {"page_size": 5}})
     assert made.session(spark, b"0123456789abcdef").limits.page_size == 5

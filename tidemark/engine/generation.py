@@ -13,9 +13,11 @@ Readers pin one manifest; a point in time pins it across calls by a lease, which
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -80,6 +82,7 @@ class Generations:
         self.limits, self.lease_seconds, self.bucket_rows = limits or Limits(), lease_seconds, bucket_rows
         self.path = f"{root}/{resource_folder(prefix, layout.resource)}"
         self.folder = Folder(spark, self.path)
+        self._lease_lock = threading.Lock()
 
     # -- pointers ----------------------------------------------------------------------------------------------
     def aliases(self) -> dict:
@@ -217,14 +220,40 @@ class Generations:
 
     def leased(self, lease: str) -> Snapshot:
         """The pinned snapshot; each use prolongs the lease."""
+        self._prolong(lease)
         _, generation, version = lease.split("-")
-        folder = self._generation(int(generation))
-        name = f"lease-{lease}.json"
-        if not folder.exists(name) or json.loads(folder.read_text(name))["until"] < self.clock():
-            raise NotFound("the point in time has passed")
-        folder.write_text(name, json.dumps({"until": self.clock() + self.lease_seconds}), replace=True)
         return self.snapshot(int(generation), int(version))
 
+    def _prolong(self, lease: str) -> None:
+        folder, name = self._generation(int(lease.split("-")[1])), f"lease-{lease}.json"
+        with self._lease_lock:  # a replaced file may be missing for a moment
+            if not folder.exists(name) or json.loads(folder.read_text(name))["until"] < self.clock():
+                raise NotFound("the point in time has passed")
+            folder.write_text(name, json.dumps({"until": self.clock() + self.lease_seconds}), replace=True)
+
+    @contextmanager
+    def holding(self, lease: str) -> Iterator[None]:
+        """Prolong a lease again and again: work between two of its uses may take longer than it lasts."""
+        self._prolong(lease)
+        done = threading.Event()
+
+        def prolong() -> None:
+            while not done.wait(self.lease_seconds / 4):
+                try:
+                    self._prolong(lease)
+                except NotFound:
+                    return
+                except Exception:  # the file system may answer the next time; else the next use finds the lease passed
+                    continue
+
+        keeper = threading.Thread(target=prolong, daemon=True)
+        keeper.start()
+        try:
+            yield
+        finally:
+            done.set()
+            keeper.join()
+
     def close_lease(self, lease: str) -> None:
         generation = int(lease.split("-")[1])
         self._generation(generation).remove(f"lease-{lease}.json")
@@ -232,9 +261,10 @@ class Generations:
     def _leases(self, number: int) -> set[int]:
         """Versions that leases still pin."""
         folder, out = self._generation(number), set()
-        for name in folder.names():
-            if name.startswith("lease-") and json.loads(folder.read_text(name))["until"] >= self.clock():
-                out.add(int(name[:-5].rsplit("-", 1)[1]))
+        with self._lease_lock:
+            for name in folder.names():
+                if name.startswith("lease-") and json.loads(folder.read_text(name))["until"] >= self.clock():
+                    out.add(int(name[:-5].rsplit("-", 1)[1]))
         return out
 
     def vacuum(self, number: int, grace_seconds: float = GRACE_SECONDS) -> int:

@@ -3,7 +3,8 @@
 Mandatory filters (scope, resource, not deleted) are added here and cannot be supplied by callers.  Texts are answered from
 the index of the snapshot, if there is one: matches and scores come from the postings of the query's terms and no tokens
 are read; tables without an index are scanned.  Total and facets
-cover all matches, whatever the cursor; both come from one aggregation.  A page of n fetches n + 1 rows.
+cover all matches, whatever the cursor; both come from one aggregation.  A page of n fetches n + 1 rows; ``pages`` has
+all pages from one sort.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from decimal import Decimal
 from functools import cached_property
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,7 +30,10 @@ from tidemark.engine.predicate import compiled, exact, join_members, literal, sc
 from tidemark.engine.request import Plan
 from tidemark.engine.scoring import Groups, Statistics, analysed, matches, score, statistics, vocabulary
 from tidemark.shipping import ship
+from tidemark.storage import write_once
 
+#: Of a number from ``monotonically_increasing_id``, the bits of the place in its range; the others are the range's.
+RANGE_BITS = 33
 ITEM = ["m_record_id", "m_source_version", "m_source_sequence", "m_resource"]
 
 
@@ -119,8 +124,8 @@ class Search:
             out.append(("score", self._score, True, False, None))
         return [*out, ("m_document_id", F.col("m_document_id"), False, False, None)]
 
-    def rows(self, position: Sequence | None = None, extra: Sequence[str] = ()) -> DataFrame:
-        """The first n + 1 rows behind a position, in order, with their sort values."""
+    def _behind(self, position: Sequence | None, extra: Sequence[str] = ()) -> tuple[DataFrame, list[Column]]:
+        """All rows behind a position with their sort values, and their order."""
         shown = F.lit(None).cast("double") if self.plan.order else self._score
         named = [(n, c, d, f) for n, c, d, f, _ in self.keys]
         df = self.matched.select(
@@ -132,9 +137,29 @@ class Search:
                 raise CursorRejected("the cursor does not continue this search")
             values = [None if v is None else F.lit(v) if kind is None else literal(v, kind) for v, (_, _, _, _, kind) in zip(position, self.keys)]
             df = df.filter(after([(F.col(n), d, f) for n, _, d, f in named], values))
-        order = [getattr(F.col(n), f"{'desc' if d else 'asc'}_nulls_{'first' if f else 'last'}")() for n, _, d, f in named]
+        return df, [getattr(F.col(n), f"{'desc' if d else 'asc'}_nulls_{'first' if f else 'last'}")() for n, _, d, f in named]
+
+    def rows(self, position: Sequence | None = None, extra: Sequence[str] = ()) -> DataFrame:
+        """The first n + 1 rows behind a position, in order, with their sort values."""
+        df, order = self._behind(position, extra)
         return df.orderBy(*order).limit(self.plan.size + 1)
 
+    def pages(self, path: str, signer: Signer | None = None, registry: str = "", snapshot: str | None = None, read: int = 0) -> DataFrame:
+        """(page, items with their sort values) of every page behind the plan's cursor, numbered on from the ``read`` ones.
+
+        A page is a pass over the matches, so all pages one at a time are a pass for each.  Here the matches are sorted
+        once, in ranges, into the folder ``path``; a row's place is its place in its range behind the ranges before.
+        """
+        df, order = self._behind(self._position(signer, registry, snapshot))
+        placed = write_once(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), path)
+        ranges, within = F.shiftright("_place", RANGE_BITS), F.col("_place").bitwiseAND((1 << RANGE_BITS) - 1)
+        sizes = sorted(tuple(r) for r in placed.groupBy(ranges.alias("_range")).agg(F.count(F.lit(1))).collect())  # a row for each range
+        before = [(r, b) for (r, _), b in zip(sizes, accumulate((n for _, n in sizes), initial=0))]
+        numbered = placed.withColumn("_range", ranges).join(F.broadcast(placed.sparkSession.createDataFrame(before, "_range bigint, _before bigint")), "_range")
+        place = F.col("_before") + within
+        page = ((place - F.pmod(place, F.lit(self.plan.size))) / self.plan.size + read + 1).cast("int")
+        return numbered.select(page.alias("page"), *[c for c in placed.columns if c != "_place"])
+
     def scored(self) -> DataFrame:
         """(m_document_id, m_record_id, score) of every match."""
         return self.matched.select("m_document_id", "m_record_id", self._score.alias("score"))
@@ -164,15 +189,20 @@ class Search:
         p = self.plan
         return {"plan": p.fingerprint, "registry": registry, "schema": p.layout.schema_fingerprint, "scope": self.scope, "size": p.size}
 
+    def _position(self, signer: Signer | None, registry: str, snapshot: str | None) -> list | None:
+        """Where the plan's cursor continues."""
+        if self.plan.cursor is None:
+            return None
+        if signer is None:
+            raise CursorRejected("no cursors here")
+        position, pinned = signer.open(self.plan.cursor, self.bound(registry))
+        if (pinned is None) == self.plan.point_in_time or pinned != snapshot:
+            raise CursorRejected("the cursor does not continue this search")
+        return position
+
     def page(self, signer: Signer | None = None, registry: str = "", snapshot: str | None = None) -> dict:
         """Items, facets, total and the cursor of the next page, as the result contract has them."""
-        plan, position = self.plan, None
-        if plan.cursor is not None:
-            if signer is None:
-                raise CursorRejected("no cursors here")
-            position, pinned = signer.open(plan.cursor, self.bound(registry))
-            if (pinned is None) == plan.point_in_time or pinned != snapshot:
-                raise CursorRejected("the cursor does not continue this search")
+        plan, position = self.plan, self._position(signer, registry, snapshot)
         found = self._highlighted(self.rows(position, [f.column for f in plan.highlights])).collect()
         counts = self.counts().collect()
         shown = found[: plan.size]

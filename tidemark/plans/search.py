@@ -400,7 +400,9 @@ _put("archive_document_ids", lambda s, d: utc_table(s, d, "docs_primary").select
 
 # -- generations -----------------------------------------------------------------------------------------------------
 def _part_log(parts: DataFrame, layout: Layout) -> DataFrame:
-    return parts.select(
+    """Parts as mutations, spread over all cores: a million parts are one file of a few MB, which is read in one task."""
+    spread = parts.repartition(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    return spread.select(
         F.col("p_partkey").alias("arrival"), F.lit(layout.resource).alias("resource_ref"), F.col("p_partkey").cast("string").alias("record_id"), F.lit(1).cast("bigint").alias("source_sequence"),
         F.lit("1").alias("source_version"), F.lit("1").alias("schema_version"), F.lit(layout.schema_fingerprint).alias("schema_fingerprint"), F.lit("sha256:" + "0" * 64).alias("scope_fingerprint"),
         F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("event_id"), F.to_json(F.struct(*layout.fields)).alias("payload"), F.lit("2026-01-01").cast("timestamp").alias("projected_at"),
@@ -473,25 +475,36 @@ _put("stream_outcomes", stream_outcomes, SQL["project_stale_acks"])
 
 
 def snapshot_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Pages of a point in time stay the same although the generation changes between them."""
+    """Pages of a point in time stay the same although the generation changes between them.
+
+    The first two are read one at a time, before and after the change, all others behind their cursor in one pass.
+    """
     store = _two_generations(spark, d)
     lease = store.open_lease()
-    request = {"catalog": "structured", "operation": "search", "consistency": "eventual", "targets": [PARTS.resource], "filter": _cmp("lte", "p_size", 30), "order": _order(("p_retailprice", "desc", "last")), "page": {"size": 500, "pointInTime": True}}
+    order = _order(("p_retailprice", "desc", "last"), ("p_partkey", "asc", "last"))
+    request = {"catalog": "structured", "operation": "search", "consistency": "eventual", "targets": [PARTS.resource], "filter": _cmp("lte", "p_size", 30), "order": order, "page": {"size": 500, "pointInTime": True}}
     signer = Signer(SECRET, CURSOR_SECONDS)
-    rows, cursor, n = [], None, 0
-    while True:
-        page_request = {**request, "page": {**request["page"], **({"cursor": cursor} if cursor else {})}}
-        plan = from_operation(PARTS, page_request, Limits(), point_in_time=True)
-        page = Search(plan, store.leased(lease).docs, "sha256:" + "0" * 64).page(signer, snapshot=lease)
-        n += 1
-        rows += [(n, i["recordRef"]["recordId"]) for i in page["items"]]
-        cursor = page["cursor"]
-        if cursor is None:
-            break
-        if n == 1:  # every part of the active generation changes while the pages are read
-            store.apply(_part_log(table(spark, d, "part").filter("p_size <= 30").withColumn("p_retailprice", F.lit(1.0)), PARTS), 1)
+
+    def behind(cursor: str | None) -> Search:
+        plan = from_operation(PARTS, {**request, "page": {**request["page"], **({"cursor": cursor} if cursor else {})}}, Limits(), point_in_time=True)
+        return Search(plan, store.leased(lease).docs, "sha256:" + "0" * 64)
+
+    rows, cursor = [], None
+    with store.holding(lease):
+        for n in (1, 2):
+            page = behind(cursor).page(signer, snapshot=lease)
+            rows += [(n, i["recordRef"]["recordId"]) for i in page["items"]]
+            cursor = page["cursor"]
+            if cursor is None:
+                break
+            if n == 1:  # every part of the active generation changes while the pages are read
+                store.apply(_part_log(table(spark, d, "part").filter("p_size <= 30").withColumn("p_retailprice", F.lit(1.0)), PARTS), 1)
+        pages = spark.createDataFrame(rows, "page int, id string")
+        if cursor is not None:
+            rest = behind(cursor).pages(f"{scratch(spark, 'pages')}/rows", signer, snapshot=lease, read=2)
+            pages = pages.unionByName(rest.select("page", F.col("m_record_id").alias("id")))
     store.close_lease(lease)
-    return spark.createDataFrame(rows, "page int, id string")
+    return pages
 
 
 _put("snapshot_pages", snapshot_pages, "select cast((row_number() over (order by p_retailprice desc, p_partkey) - 1) // 500 + 1 as int) page, cast(p_partkey as varchar) id from part where p_size <= 30")
